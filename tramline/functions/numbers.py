@@ -39,9 +39,8 @@ def coerce_int(value: Column) -> Column:
     without changing it.
     """
     number = coerce_double(value)
-    whole = F.when(number == F.floor(number), number.cast("bigint")).when(
-        number.isNotNull(), _stop("fraction in a whole-number column", value)
-    )
+    fraction = _stop("fraction in a whole-number column", value)
+    whole = F.when(number % 1 != 0, fraction).otherwise(number.cast("bigint"))
     return F.coalesce(value.try_cast("bigint"), whole)
 
 

@@ -84,6 +84,10 @@ def join_distinct(
 
     Both inputs must already hold only output columns. Distinct inputs that share the join key
     as an output column join to distinct rows, so nothing is left to remove afterwards, and
-    what moves is one row per station and task instead of every usage row.
+    what moves is one row per station and task instead of every usage row. The size check
+    counts the places before their own DISTINCT, an upper bound that costs no shuffle.
     """
-    return attach(usage.distinct(), places.distinct(), keys, max_rows)
+    stations, spots = usage.distinct(), places.distinct()
+    if fits(places, max_rows):
+        return stations.join(F.broadcast(spots), list(keys))
+    return skew_join(stations, spots, keys)

@@ -19,7 +19,8 @@ from tramline.operators.filters import require_fields
 
 def _station_id(text: Column) -> Column:
     """A numeric id kept as trimmed text, so that a leading zero stays visible."""
-    return F.when(fx.coerce_int(text).isNotNull(), fx.strip_ws(text))
+    plain = text.try_cast("bigint").isNotNull()
+    return F.when(plain, fx.strip_ws(text)).otherwise(fx.coerce_int(text).cast("string"))
 
 
 def clean_bike_usage(raw: DataFrame, run: datetime) -> DataFrame:

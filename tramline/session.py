@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Write a day without sorting it first; a task that meets more days falls back to a sort.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # HotSpot never compiles a method above 8000 bytes; let Spark split such a projection.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

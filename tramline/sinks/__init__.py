@@ -8,7 +8,12 @@ from tramline.sinks.conform import (
     rejected,
     schema_guard,
 )
-from tramline.sinks.files import write_json, write_parquet, write_parquet_chunked
+from tramline.sinks.files import (
+    write_date_folders,
+    write_json,
+    write_parquet,
+    write_parquet_chunked,
+)
 from tramline.sinks.tables import (
     append_load,
     full_refresh,
@@ -25,5 +30,5 @@ __all__ = [
     "SchemaDrift", "accepted", "align_by_name", "append_load", "full_refresh",
     "incremental_append", "ingest_days_if_complete", "late_rows", "load_continue",
     "materialize", "read_if_present", "rejected", "replace_by_date", "replace_days",
-    "schema_guard", "write_json", "write_parquet", "write_parquet_chunked",
+    "schema_guard", "write_date_folders", "write_json", "write_parquet", "write_parquet_chunked",
 ]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tramline.constants import CHUNK_ROWS
+from tramline.functions import compact_date, compact_date_parts, pad_number
 
 
 def write_json(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -29,6 +30,14 @@ def write_parquet(
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_date_folders(rows: DataFrame, path: str, day: str, hour: str | None = None) -> None:
+    """Overwrite ``path`` with JSON lines in ``yyyy=/mm=/dd=[/hh=]`` folders, all zero-padded."""
+    pieces = compact_date_parts(compact_date(F.col(day)))
+    if hour is not None:
+        pieces["hh"] = pad_number(F.col(hour), 2)
+    write_json(rows.withColumns(pieces), path, list(pieces))
+
+
 def write_parquet_chunked(rows: DataFrame, path: str, max_rows: int = CHUNK_ROWS) -> None:
     """Overwrite ``path`` with Parquet files of at most ``max_rows`` rows each."""
     rows.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(path)

@@ -168,16 +168,17 @@ def register_sources(t: Tables) -> DataFrame:
 @query(
     "partitioned_layout",
     """
-    SELECT event_id, value, CAST(ts AS DATE) AS usage_date, CAST(hour(ts) AS INTEGER) AS usage_time
+    SELECT event_id, value, strftime(ts, '%Y') AS yyyy, strftime(ts, '%m') AS mm, strftime(ts, '%d') AS dd
     FROM events
     """,
 )
 def partitioned_layout(t: Tables) -> DataFrame:
-    """A folder per day and hour; both come back as typed columns."""
+    """A folder per year, month and day, whose names come back as columns."""
     path = t.scratch("layout")
-    rows = event_days(t, "event_id", "value", F.hour("ts").alias("usage_time"))
-    sinks.write_parquet(rows, path, ["usage_date", "usage_time"], gather=True)
-    return t.spark.read.parquet(path)
+    rows = event_days(t, "event_id", "value")
+    sinks.write_date_folders(rows, path, "usage_date")
+    names = "event_id bigint, value double, yyyy string, mm string, dd string"
+    return t.spark.read.schema(names).json(path)
 
 
 @query(

@@ -19,12 +19,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def location(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location(name))
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.location(name))
+        return self._read[name]
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

@@ -4,8 +4,9 @@ bike usage     events      (user_id as station)      bike stations    supplier
 bus usage      orders      (o_custkey as stop)       bus stops        customer
 subway usage   lineitem    (l_suppkey as station)    metro stations   supplier
 
-``landed_*`` is the text an API would deliver, with the faults the cleaning rules are about.
-``*_SQL`` is what cleaning must make of it. Every row of a table is used.
+``landed_*`` is the text an API would deliver, with the faults the cleaning rules are about;
+``*_SQL`` is what cleaning must make of it. ``bike_usage`` and its like are loaded tables, from
+which models are built. Every row of a driver table is used.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tramline import constants as const
-from tramline.plans import clean
 from tramline.workload.registry import Tables
 
 RUN = datetime(2024, 2, 1)
@@ -33,6 +33,10 @@ def day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
+def _selected(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.expr(text).alias(name) for name, text in fields.items()])
+
+
 def pages(rows: DataFrame, key: str, *fields: str) -> DataFrame:
     """Rows gathered into pages by a unique whole-number key, so a page has at most PAGE rows."""
     item = F.struct(key, *[f"`{field}`" for field in fields])
@@ -81,7 +85,7 @@ def landed_bike_usage(t: Tables, faults: bool = True) -> DataFrame:
         "END_INDEX": "CAST(1000 AS INT)",
         "RNUM": "CAST(event_id AS STRING)",
     }
-    return t["events"].select(*[F.expr(text).alias(name) for name, text in fields.items()])
+    return _selected(t["events"], fields)
 
 
 _K_SQL = "json_extract_string(props, '$.k')"
@@ -116,9 +120,26 @@ FROM events"""
 
 
 def bike_usage(t: Tables) -> DataFrame:
-    """The loaded table: cleaned rows, each stamped with its own day."""
-    cleaned = clean.clean_bike_usage(landed_bike_usage(t), RUN)
-    return cleaned.withColumn("_loaded_at", F.col("usage_date").cast("timestamp"))
+    """The loaded table, each row stamped with its own day."""
+    k = "get_json_object(props, '$.k')"
+    fields = {
+        "usage_date": "CAST(ts AS DATE)",
+        "usage_time": "hour(ts)",
+        "station_id": "CASE event_id % 50 WHEN 0 THEN NULL WHEN 2 THEN NULL WHEN 1 THEN '0' || user_id "
+        "ELSE CAST(user_id AS STRING) END",
+        "station_name": "CASE WHEN event_id % 50 <> 4 THEN 'Stop ' || user_id % 40 END",
+        "rental_type_code": "event_type",
+        "gender": "CASE user_id % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END",
+        "age_group": "CAST(user_id % 7 * 10 AS STRING)",
+        "usage_count": "CAST(1 + event_id % 5 AS INT)",
+        "calories": f"CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN NULL "
+        f"WHEN 2 THEN CAST('-' || {k} || '.7' AS DOUBLE) ELSE CAST({k} || '.25' AS DOUBLE) END",
+        "carbon_emission": "value",
+        "distance": "CASE WHEN event_id % 19 <> 0 THEN user_id + 0.5D END",
+        "duration": "CASE WHEN event_id % 17 <> 0 THEN CAST(event_id % 60 AS INT) END",
+        "_loaded_at": "CAST(CAST(ts AS DATE) AS TIMESTAMP)",
+    }
+    return _selected(t["events"], fields)
 
 
 # --- bus usage: orders --------------------------------------------------------------------
@@ -138,7 +159,7 @@ def landed_bus_usage(t: Tables) -> DataFrame:
         "GTOFF_TNOPE": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderkey % 150 AS STRING) END",
         "REG_YMD": "date_format(o_orderdate, 'yyyyMMdd')",
     }
-    return t["orders"].select(*[F.expr(text).alias(name) for name, text in fields.items()])
+    return _selected(t["orders"], fields)
 
 
 CLEAN_BUS_SQL = """
@@ -154,8 +175,19 @@ FROM orders"""
 
 
 def bus_usage(t: Tables) -> DataFrame:
-    cleaned = clean.clean_bus_usage(landed_bus_usage(t), RUN)
-    return cleaned.withColumn("_loaded_at", F.col("usage_date").cast("timestamp"))
+    """The loaded table, each row stamped with its own day."""
+    fields = {
+        "usage_date": "CAST(o_orderdate AS DATE)",
+        "route_number": "o_orderpriority",
+        "route_name": "o_orderpriority || ' line'",
+        "node_id": "CAST(o_custkey AS STRING)",
+        "ars_id": "CAST(o_custkey AS STRING)",
+        "station_name": "'Stop <' || o_custkey || '>'",
+        "boarding_count": "CAST(o_orderkey % 200 AS INT)",
+        "getoff_count": "CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 150 AS INT) END",
+        "_loaded_at": "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)",
+    }
+    return _selected(t["orders"], fields)
 
 
 # --- subway usage: lineitem ---------------------------------------------------------------
@@ -175,7 +207,7 @@ _SUBWAY_FIELDS = {
 def landed_subway_usage(t: Tables) -> DataFrame:
     """As collected, with the registration date the clean step drops."""
     fields = {**_SUBWAY_FIELDS, "REG_DATE": "date_format(l_shipdate, 'yyyyMMdd')"}
-    return t["lineitem"].select(*[F.expr(text).alias(name) for name, text in fields.items()])
+    return _selected(t["lineitem"], fields)
 
 
 RAW_SUBWAY_SQL = f"""
@@ -207,7 +239,7 @@ def landed_bike_station(t: Tables) -> DataFrame:
         "STA_LAT": "CASE WHEN s_suppkey % 10 = 0 THEN '0.0' ELSE CAST(s_acctbal AS STRING) END",
         "STA_LONG": "CASE WHEN s_suppkey % 10 = 1 THEN '0' ELSE s_nationkey || '.25' END",
     }
-    return t["supplier"].select(*[F.expr(text).alias(name) for name, text in fields.items()])
+    return _selected(t["supplier"], fields)
 
 
 CLEAN_BIKE_STATION_SQL = """
@@ -220,7 +252,15 @@ FROM supplier"""
 
 
 def bike_location(t: Tables) -> DataFrame:
-    return clean.clean_bike_station(landed_bike_station(t))
+    """The loaded table."""
+    fields = {
+        "station_id": "CAST(s_suppkey AS STRING)",
+        "address1": "s_name",
+        "address2": "CASE WHEN s_suppkey % 4 <> 0 THEN s_name || ' gate' END",
+        "latitude": "CASE WHEN s_suppkey % 10 <> 0 THEN nullif(s_acctbal, 0.0D) END",
+        "longitude": "CASE WHEN s_suppkey % 10 <> 1 THEN s_nationkey + 0.25D END",
+    }
+    return _selected(t["supplier"], fields)
 
 
 def landed_bus_stop(t: Tables) -> DataFrame:
@@ -233,7 +273,7 @@ def landed_bus_stop(t: Tables) -> DataFrame:
         "XCRD": "CASE WHEN c_custkey % 10 = 1 THEN '0' ELSE c_nationkey || '.25' END",
         "STOPS_TYPE": "c_mktsegment",
     }
-    return t["customer"].select(*[F.expr(text).alias(name) for name, text in fields.items()])
+    return _selected(t["customer"], fields)
 
 
 CLEAN_BUS_STOP_SQL = """
@@ -249,7 +289,18 @@ FROM customer"""
 
 
 def bus_stop_location(t: Tables) -> DataFrame:
-    return clean.clean_bus_stop(landed_bus_stop(t))
+    """The loaded table."""
+    fields = {
+        "node_id": "CAST(c_custkey AS STRING)",
+        "ars_id": "CASE c_custkey % 20 WHEN 0 THEN NULL WHEN 1 THEN '12' || (100000 + c_custkey) "
+        "ELSE CASE WHEN c_custkey < 10000 THEN lpad(CAST(c_custkey AS STRING), 5, '0') "
+        "ELSE CAST(c_custkey AS STRING) END END",
+        "stop_name_kr": "'Stop ' || c_custkey % 500",
+        "latitude": "CASE WHEN c_custkey % 10 <> 0 THEN nullif(c_acctbal, 0.0D) END",
+        "longitude": "CASE WHEN c_custkey % 10 <> 1 THEN c_nationkey + 0.25D END",
+        "stop_type": "c_mktsegment",
+    }
+    return _selected(t["customer"], fields)
 
 
 def landed_metro_pages(t: Tables) -> DataFrame:
@@ -279,17 +330,16 @@ WHERE s_suppkey % 7 <> 3"""
 
 
 def subway_location(t: Tables) -> DataFrame:
-    """The loaded table, straight from the source columns."""
-    return t["supplier"].select(
-        F.expr("'S' || s_suppkey").alias("station_name"),
-        F.expr("CASE WHEN s_nationkey = 0 THEN '-1' ELSE CAST(s_nationkey AS STRING) END").alias(
-            "external_station_code"
-        ),
-        F.expr("CASE WHEN s_suppkey % 7 <> 3 THEN s_acctbal END").alias("latitude"),
-        F.expr("s_nationkey + 0.25D").alias("longitude"),
-        F.expr("CAST(1 + s_suppkey % 9 AS STRING)").alias("line_no"),
-        F.lit(CREATED).alias("created_date"),
-    )
+    """The loaded table, with some stations that lack a coordinate."""
+    fields = {
+        "station_name": "'S' || s_suppkey",
+        "external_station_code": "CASE WHEN s_nationkey = 0 THEN '-1' ELSE CAST(s_nationkey AS STRING) END",
+        "latitude": "CASE WHEN s_suppkey % 7 <> 3 THEN s_acctbal END",
+        "longitude": "s_nationkey + 0.25D",
+        "line_no": "CAST(1 + s_suppkey % 9 AS STRING)",
+        "created_date": f"DATE '{CREATED}'",
+    }
+    return _selected(t["supplier"], fields)
 
 
 # --- staging and dimensions as SQL --------------------------------------------------------
