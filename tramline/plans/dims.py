@@ -36,10 +36,15 @@ def bike_number(station_id: Column) -> Column:
 
 
 def dim_date(bike: DataFrame, bus: DataFrame, subway: DataFrame) -> DataFrame:
-    """One row per day used anywhere. Calendar columns are computed once per day."""
+    """One row per day used anywhere.
+
+    Text dates are parsed, and calendar columns computed, once per distinct day.
+    """
     days = union_distinct(
         *[
-            usage.select(fx.to_date_strict(F.col("usage_date")).alias("date_id"))
+            distinct_pairs(usage, "usage_date").select(
+                fx.to_date_strict(F.col("usage_date")).alias("date_id")
+            )
             for usage in (bike, bus, subway)
         ]
     )

@@ -26,14 +26,10 @@ def envelope(service: str, row: StructType) -> StructType:
 
 
 # Field names of the landed files, in file order.
-RAW_BIKE_USAGE = (
-    text_fields(
-        "RENT_DT", "RENT_HR", "RENT_ID", "RENT_NM", "RENT_TYPE", "GENDER_CD",
-        "AGE_TYPE", "USE_CNT", "EXER_AMT", "CARBON_AMT", "MOVE_METER", "MOVE_TIME",
-    )
-    .add("START_INDEX", "integer")
-    .add("END_INDEX", "integer")
-    .add("RNUM", "string")
+RAW_BIKE_USAGE = text_fields(
+    "RENT_DT", "RENT_HR", "RENT_ID", "RENT_NM", "RENT_TYPE", "GENDER_CD",
+    "AGE_TYPE", "USE_CNT", "EXER_AMT", "CARBON_AMT", "MOVE_METER", "MOVE_TIME",
+    "START_INDEX", "END_INDEX", "RNUM",
 )
 RAW_BIKE_STATION = text_fields("RENT_NO", "STA_ADD1", "STA_ADD2", "STA_LAT", "STA_LONG")
 RAW_BUS_STOP = text_fields("NODE_ID", "STOPS_NO", "STOPS_NM", "YCRD", "XCRD", "STOPS_TYPE")

@@ -6,9 +6,11 @@ repeated task, not wrong rows. Every protocol but the plain append can be repeat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -16,14 +18,16 @@ from tramline.operators.filters import filter_hwm, high_water_mark
 from tramline.sinks.conform import schema_guard
 from tramline.sources.audit import DONE
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A Hadoop path and its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first load (no folder, or one without files)."""
-    if not _exists(spark, path):
+    place, fs = _place(spark, path)
+    if not fs.exists(place):
         return None
     try:
         return spark.read.parquet(path)
@@ -69,8 +73,24 @@ def replace_days(
 
 
 def full_refresh(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Make ``rows`` the whole table. ``rows`` must not read the table it replaces."""
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Make ``rows`` the whole table.
+
+    The new table is written next to the old one and takes its place by rename once it is
+    complete. A failed run leaves the old table, and ``rows`` may be computed from it.
+    """
+    folder, _, name = path.rstrip("/").rpartition("/")
+    mark = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    rows.write.partitionBy(*partition_by).parquet(f"{mark}-new")
+    place, fs = _place(rows.sparkSession, path)
+    fresh, _ = _place(rows.sparkSession, f"{mark}-new")
+    former, _ = _place(rows.sparkSession, f"{mark}-old")
+    replacing = fs.exists(place)
+    if replacing and not fs.rename(place, former):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(fresh, place):
+        raise OSError(f"cannot move the new table to {path}")
+    if replacing:
+        fs.delete(former, True)
 
 
 def append_load(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -7,9 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-_CORRUPT = "_corrupt_record"
-
-
 def scan_json_rows(
     spark: SparkSession, path: str, schema: StructType, array_files: bool = False
 ) -> DataFrame:
@@ -30,19 +27,17 @@ def scan_json_rows(
 def scan_hourly_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All readable hour files below ``path``; an absent or unreadable file gives no rows.
 
-    Folder names such as ``usage_date=.../usage_time=...`` become columns. A broken array file
-    surfaces as one corrupt row for the whole file, so dropping it drops the file.
+    Folder names such as ``usage_date=.../usage_time=...`` become columns. An array file is
+    parsed as one record, so a broken one is dropped whole. ``schema`` should be all text: a
+    value of another type would count as broken.
     """
-    wanted = StructType([*schema.fields]).add(_CORRUPT, "string")
-    rows = (
-        spark.read.schema(wanted)
+    return (
+        spark.read.schema(schema)
         .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("mode", "DROPMALFORMED")
         .option("ignoreMissingFiles", True)
         .json(path)
     )
-    return rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 
 
 def scan_xml_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -81,8 +81,8 @@ def landed_bike_usage(t: Tables, faults: bool = True) -> DataFrame:
         "CARBON_AMT": "CAST(value AS STRING)",
         "MOVE_METER": "CASE WHEN event_id % 19 = 0 THEN NULL ELSE user_id || '.5' END",
         "MOVE_TIME": duration,
-        "START_INDEX": "CAST(1 AS INT)",
-        "END_INDEX": "CAST(1000 AS INT)",
+        "START_INDEX": "'1'",
+        "END_INDEX": "'1000'",
         "RNUM": "CAST(event_id AS STRING)",
     }
     return _selected(t["events"], fields)
