@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tramline.operators.filters import filter_not_null
+
 # A dimension row here is a key plus a few short columns, about 100 bytes.
 BROADCAST_ROWS = 500_000
 # A key holding more than this share of the large side is cut into pieces of at most this share.
@@ -42,7 +44,7 @@ def skew_join(
     copied to each of them; all slots together are at most ``2/share``.
     """
     keys = list(keys)
-    rows = rows.dropna(subset=keys)
+    rows = filter_not_null(rows, *keys)
     most = math.floor(1 / share)
     seen = Observation()
     top = (

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from tramline import schemas
+from tramline.operators.columns import audit_stamp
 from tramline.plans import clean, dims, facts, staging
 from tramline.session import configure
 from tramline.sinks.conform import align_by_name
@@ -59,8 +60,12 @@ class Warehouse:
 
     # Bike history: cleaned once into files of bounded size, then loaded by file name.
 
-    def stage_bike_history(self, raw: DataFrame, staging_path: str) -> None:
-        write_parquet_chunked(clean.clean_bike_usage_bulk(raw), staging_path)
+    def stage_bike_history(
+        self, raw: DataFrame, staging_path: str, run: datetime | None = None
+    ) -> None:
+        """Without a ``run`` the rows carry no load stamp, and the fact build leaves them out."""
+        rows = clean.clean_bike_usage_bulk(raw)
+        write_parquet_chunked(audit_stamp(rows, run) if run else rows, staging_path)
 
     def load_bike_history(self, staging_path: str, pattern: str = "part-*.parquet") -> None:
         rows = scan_glob(self.spark, staging_path, pattern)
