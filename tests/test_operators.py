@@ -80,6 +80,8 @@ def test_attach_broadcasts_only_within_the_bound(frame):
     rows, dimension = skewed(2)
     big, small = frame("k int, v double", *rows), frame("k int, name string", *dimension)
     assert op.fits(small, 44) and not op.fits(small, 43)
+    assert op.fits(small, max_bytes=4000) and not op.fits(small, max_bytes=1000)
+    assert op.fits(small.limit(0), 0)
     near, far = op.attach(big, small, ["k"]), op.attach(big, small, ["k"], max_rows=10)
     assert "BroadcastHashJoin" in plan_of(near)
     assert "_slot" in plan_of(far)

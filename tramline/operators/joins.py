@@ -10,15 +10,30 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tramline.operators.filters import filter_not_null
 
-# A dimension row here is a key plus a few short columns, about 100 bytes.
+# A side is broadcast only if it stays within both.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 # A key holding more than this share of the large side is cut into pieces of at most this share.
 HOT_SHARE = 0.001
 
 
-def fits(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side has at most ``max_rows`` rows; stops counting just past the bound."""
-    return side.limit(max_rows + 1).count() <= max_rows
+def fits(
+    side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a side is small enough to broadcast, measured, not estimated.
+
+    Reads no more than ``max_rows + 1`` of its rows.
+    """
+    widths = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16
+        for name in side.columns
+    ]
+    size = side.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(sum(widths, F.lit(0))), F.lit(0)).alias("bytes"),
+    )
+    found = size.first()
+    return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
 
 def attach(

@@ -54,11 +54,15 @@ def star_join(
     users: DataFrame,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Bike usage with its three dimensions; rows without a match in any of them drop out."""
+    """Bike usage with its three dimensions; rows without a match in any of them drop out.
+
+    Stations come last: theirs is the dimension that can outgrow a broadcast, and a shuffled
+    join should not be followed by others that measure its result again.
+    """
     usage = bike.withColumnsRenamed({"usage_date": "date_id", "station_id": "source_station_id"})
     dated = join_dim_date(usage, dates, max_rows)
-    placed = join_dim_station(dated, stations, const.BIKE, max_rows=max_rows)
-    return join_dim_user(placed, users, max_rows)
+    known = join_dim_user(dated, users, max_rows)
+    return join_dim_station(known, stations, const.BIKE, max_rows=max_rows)
 
 
 def fact_bike_usage(
