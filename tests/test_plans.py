@@ -299,6 +299,21 @@ def test_subway_ranges(spark, loaded):
         house.load_subway_month(str(land / "subway"), RUN, strict=True)
 
 
+def test_incomplete_days_are_left_alone(spark, loaded):
+    house, land = loaded
+    days = [DAY, dt.date(2025, 2, 1)]
+    landed = [rental(RENT_DT=day.isoformat(), RENT_HR=str(hour), USE_CNT="50") for day in days for hour in range(24)]
+    landing = write_lines(land / "two_days", "a.json", landed[:-1])
+    promised = sources.date_hour_spine(
+        spark.createDataFrame([tuple(days)], "start date, end date")
+    ).withColumn("list_total_count", F.lit(1))
+    assert house.load_bike_days_if_complete(landing, promised, RUN) == [DAY]
+    assert house.read("bike_usage").agg(F.sum("usage_count")).first()[0] == 24 * 50
+    write_lines(land / "two_days", "b.json", landed[-1:])
+    assert house.load_bike_days_if_complete(landing, promised, RUN) == days
+    assert house.read("bike_usage").count() == 48
+
+
 def test_bike_history(spark, loaded):
     house, land = loaded
     raw = rentals(spark, rental(RENT_DT="2025-01-01"), rental(RENT_DT="2025-01-02", EXER_AMT="x"))

@@ -63,6 +63,7 @@ def test_xml_pages(spark, frame):
         ("<r><RESULT><CODE>INFO-200</CODE></RESULT></r>",),
     )
     assert values(sources.unwrap_xml(pages, "p", AB)) == [("1", " x < y "), ("9", None), (None, None)]
+    assert values(sources.xml_totals(pages, "p")) == [(0, False), (1, False), (2, False), (None, True)]
 
 
 def test_xml_files(spark, tmp_path):

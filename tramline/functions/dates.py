@@ -16,8 +16,8 @@ def to_date_strict(text: Column) -> Column:
 
 def normalize_compact_date(text: Column) -> Column:
     """``20250131`` becomes ``2025-01-31``; anything that is not a valid compact date is kept."""
-    dashed = F.date_format(F.try_to_date(text, "yyyyMMdd"), "yyyy-MM-dd")
-    return F.coalesce(F.when(F.length(text) == 8, dashed), text)
+    is_compact = (F.length(text) == 8) & F.try_to_date(text, "yyyyMMdd").isNotNull()
+    return F.when(is_compact, F.concat_ws("-", *compact_date_parts(text).values())).otherwise(text)
 
 
 def date_parts(day: Column) -> dict[str, Column]:

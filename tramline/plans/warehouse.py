@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tramline import schemas
 from tramline.operators.columns import audit_stamp
@@ -16,12 +16,20 @@ from tramline.sinks.tables import (
     append_load,
     full_refresh,
     incremental_append,
+    ingest_days_if_complete,
     replace_by_date,
     replace_days,
 )
+from tramline.sources.audit import landing_audit
 from tramline.sources.files import scan_glob, scan_json_rows, scan_xml_rows
 from tramline.sources.payloads import array_position_seq
-from tramline.sources.ranges import MissingDays, absent_days, backfill_range, previous_month_bounds
+from tramline.sources.ranges import (
+    MissingDays,
+    absent_days,
+    backfill_range,
+    date_hour_spine,
+    previous_month_bounds,
+)
 
 DAY = "usage_date"
 
@@ -58,6 +66,20 @@ class Warehouse:
         batch = self._aligned(clean.clean_bus_usage(raw, run), "bus_usage")
         replace_by_date(batch, self.path("bus_usage"), run.date() - timedelta(days=1))
 
+    def load_bike_days_if_complete(
+        self, landing: str, promised: DataFrame, run: datetime, array_files: bool = False
+    ) -> list[date]:
+        """Replace only the days for which every hour brought the rows it promised.
+
+        ``promised`` has usage_date, usage_time and list_total_count; an hour it does not
+        mention counts as missing. Returns the days that were replaced.
+        """
+        raw = scan_json_rows(self.spark, landing, schemas.RAW_BIKE_USAGE, array_files)
+        batch = self._aligned(clean.clean_bike_usage(raw, run), "bike_usage")
+        span = promised.agg(F.min(DAY).alias("start"), F.max(DAY).alias("end"))
+        audit = landing_audit(batch, promised, date_hour_spine(span), [DAY, "usage_time"])
+        return ingest_days_if_complete(batch, audit, self.path("bike_usage"))
+
     # Bike history: cleaned once into files of bounded size, then loaded by file name.
 
     def stage_bike_history(

@@ -17,6 +17,7 @@ from tramline.sources.payloads import (
     unwrap_json_envelope,
     unwrap_json_list,
     unwrap_xml,
+    xml_totals,
 )
 from tramline.sources.ranges import (
     MissingDays,
@@ -33,4 +34,5 @@ __all__ = [
     "page_plan", "previous_month", "previous_month_bounds", "register_sources",
     "require_complete", "scan_glob", "scan_hourly_json", "scan_json_rows", "scan_parquet_day",
     "scan_xml_rows", "unwrap_json_envelope", "unwrap_json_list", "unwrap_xml",
+    "xml_totals",
 ]
