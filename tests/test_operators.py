@@ -76,6 +76,14 @@ def test_slots_are_bounded_by_the_share():
         assert len(hot) <= 1 / share and sum(hot) <= 2 / share
 
 
+def test_skew_join_needs_keys_of_one_exact_type(frame):
+    big = frame("k int, d double", (1, 1.0))
+    with pytest.raises(TypeError):
+        op.skew_join(big, frame("k bigint", (1,)), ["k"])
+    with pytest.raises(TypeError):
+        op.skew_join(big, frame("d double", (1.0,)), ["d"])
+
+
 def test_attach_broadcasts_only_within_the_bound(frame):
     rows, dimension = skewed(2)
     big, small = frame("k int, v double", *rows), frame("k int, name string", *dimension)
