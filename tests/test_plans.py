@@ -314,6 +314,20 @@ def test_incomplete_days_are_left_alone(spark, loaded):
     assert house.read("bike_usage").count() == 48
 
 
+def test_hour_files(spark, tmp_path):
+    house = plans.Warehouse(spark, str(tmp_path / "house"))
+    for hour in (4, 6):
+        folder = tmp_path / "land" / f"usage_time={hour:02d}"
+        folder.mkdir(parents=True)
+        text = json.dumps([rental(RENT_HR=str(hour)), rental(RENT_HR=str(hour), EXER_AMT=None)])
+        (folder / "data.json").write_text(text[:-3] if hour == 6 else text)
+    for _ in range(2):
+        house.load_bike_day_by_hour(str(tmp_path / "land"), RUN)
+    got = house.read("bike_usage_by_hour").select("usage_time", "station_name", "calories", "usage_date")
+    assert values(got) == [(4, "102. A.B", 0, DAY), (4, "102. A.B", 3, DAY)]
+    assert spark.read.parquet(house.path("bike_usage_by_hour_rejects")).count() == 0
+
+
 def test_bike_history(spark, loaded):
     house, land = loaded
     raw = rentals(spark, rental(RENT_DT="2025-01-01"), rental(RENT_DT="2025-01-02", EXER_AMT="x"))

@@ -10,7 +10,7 @@ from tramline import schemas
 from tramline.operators.columns import audit_stamp
 from tramline.plans import clean, dims, facts, staging
 from tramline.session import configure
-from tramline.sinks.conform import align_by_name
+from tramline.sinks.conform import accepted, align_by_name, load_continue, rejected
 from tramline.sinks.files import write_parquet_chunked
 from tramline.sinks.tables import (
     append_load,
@@ -21,7 +21,7 @@ from tramline.sinks.tables import (
     replace_days,
 )
 from tramline.sources.audit import landing_audit
-from tramline.sources.files import scan_glob, scan_json_rows, scan_xml_rows
+from tramline.sources.files import scan_glob, scan_hourly_json, scan_json_rows, scan_xml_rows
 from tramline.sources.payloads import array_position_seq
 from tramline.sources.ranges import (
     MissingDays,
@@ -80,6 +80,17 @@ class Warehouse:
         audit = landing_audit(batch, promised, date_hour_spine(span), [DAY, "usage_time"])
         return ingest_days_if_complete(batch, audit, self.path("bike_usage"))
 
+    def load_bike_day_by_hour(self, landing: str, run: datetime) -> None:
+        """The strict variant, from a folder of hour files; absent or broken files are skipped.
+
+        Rows that do not fit the table are kept aside in ``bike_usage_by_hour_rejects``.
+        """
+        raw = scan_hourly_json(self.spark, landing, schemas.RAW_BIKE_USAGE)
+        name = "bike_usage_by_hour"
+        checked = load_continue(clean.clean_bike_usage_strict(raw), schemas.table_schema(name))
+        replace_by_date(accepted(checked), self.path(name), run.date() - timedelta(days=1))
+        full_refresh(rejected(checked), self.path(f"{name}_rejects"))
+
     # Bike history: cleaned once into files of bounded size, then loaded by file name.
 
     def stage_bike_history(

@@ -98,6 +98,11 @@ TABLES = {
         "carbon_emission double, distance double, duration int, "
         "_updated_at timestamp, _loaded_at timestamp, usage_date date"
     ),
+    "bike_usage_by_hour": (
+        "usage_time int, station_id string, station_name string, rental_type_code string, "
+        "gender string, age_group string, usage_count int, calories int, "
+        "carbon_emission double, distance double, duration int, usage_date date"
+    ),
     "bike_location": (
         "station_id string, address1 string, address2 string, latitude double, longitude double"
     ),
