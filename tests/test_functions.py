@@ -32,8 +32,8 @@ TEXT_RULES = [
      ["2025-01-31", "2025-01-31", "20251331", "2025013", None]),
     (fx.coerce_int, ["3", "x", "", None, " 4 ", "5.0", "1e3", "3d", "nan", "9007199254740993"],
      [3, None, None, None, 4, 5, 1000, None, None, 9007199254740993]),
-    (fx.coerce_double, ["3.5", "x", "", None, "-.5", "2.", "3f", "0x1p3", "NaN", "1E-2"],
-     [3.5, None, None, None, -0.5, 2.0, None, None, None, 0.01]),
+    (fx.coerce_double, ["3.5", "x", "", None, "-.5", "2.", "3f", "0x1p3", "NaN", "1E-2", "1e309", "9" * 309, "0" * 310 + "1", "-inf", " inf"],
+     [3.5, None, None, None, -0.5, 2.0, None, None, None, 0.01, None, None, 1.0, float("-inf"), None]),
     (fx.coerce_int_or_zero, ["3.7", "-3.7", "x", None, ""], [3, -3, 0, 0, 0]),
     (fx.cast_int_strict, ["3", " -4 "], [3, -4]),
     (fx.cast_double_strict, ["3.5", None, "7"], [3.5, None, 7.0]),

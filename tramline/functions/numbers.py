@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Java also reads "3d", "0x1p3" and "NaN" as doubles; those are not numbers here.
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+_PLAIN = r"^\s*[+-]?(\d{1,300}(\.\d*)?|\.\d+)\s*$"
+_SCIENTIFIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INFINITE = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 
 
 def _stop(message: str, value: Column) -> Column:
@@ -28,8 +30,10 @@ def cast_double_strict(value: Column) -> Column:
 
 
 def coerce_double(value: Column) -> Column:
-    """Number, or null when the text is not one."""
-    return F.when(value.cast("string").rlike(_NUMBER), value.try_cast("double"))
+    """Number, or null when the text is not one or is too large for a double."""
+    text, number = value.cast("string"), value.try_cast("double")
+    in_range = text.rlike(_SCIENTIFIC) & (F.abs(number) < float("inf"))
+    return F.when(text.rlike(_PLAIN) | in_range | text.rlike(_INFINITE), number)
 
 
 def coerce_int(value: Column) -> Column:
@@ -38,10 +42,11 @@ def coerce_int(value: Column) -> Column:
     A number with a fraction is an error: it cannot be stored in a whole-number column
     without changing it.
     """
-    number = coerce_double(value)
+    text, number = value.cast("string"), value.try_cast("double")
     fraction = _stop("fraction in a whole-number column", value)
     whole = F.when(number % 1 != 0, fraction).otherwise(number.cast("bigint"))
-    return F.coalesce(value.try_cast("bigint"), whole)
+    in_range = text.rlike(_SCIENTIFIC) & (F.abs(number) < float("inf"))
+    return F.coalesce(value.try_cast("bigint"), F.when(in_range, whole))
 
 
 def coerce_int_or_zero(value: Column) -> Column:
