@@ -4,6 +4,8 @@ import os
 import sys
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -39,6 +41,9 @@ def frame(spark):
     return make
 
 
+STOPPED = (PySparkException, Py4JJavaError)  # how a job that was stopped by its data ends
+
+
 def values(rows) -> list[tuple]:
     return sorted((tuple(row) for row in rows.collect()), key=repr)
 

@@ -122,8 +122,8 @@ def test_columns(frame):
 
 def test_stamp_is_the_day_before_in_utc(frame):
     rows = frame("a int", (1,))
-    seoul = dt.timezone(dt.timedelta(hours=9))
-    for run in (dt.datetime(2025, 3, 1), dt.datetime(2025, 3, 1, 9, tzinfo=seoul)):
+    ahead = dt.timezone(dt.timedelta(hours=9))
+    for run in (dt.datetime(2025, 3, 1), dt.datetime(2025, 3, 1, 9, tzinfo=ahead)):
         stamped = op.audit_stamp(rows, run)
         assert stamped.columns == ["a", "_updated_at", "_loaded_at"]
         assert stamped.select(F.col("_loaded_at").cast("string")).first()[0] == "2025-02-28 00:00:00"

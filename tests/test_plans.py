@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from conftest import STOPPED, plan_of, values
 from tramline import plans, schemas, sources
 from tramline.functions import surrogate_key
 
@@ -299,6 +299,18 @@ def test_subway_ranges(spark, loaded):
         house.load_subway_month(str(land / "subway"), RUN, strict=True)
 
 
+def test_places_survive_a_bad_landing(spark, loaded):
+    house, land = loaded
+    empty = write_lines(land / "none", "a.json", [[]])
+    with pytest.raises(sources.IncompleteLanding):
+        house.refresh_bike_locations(empty)
+    (land / "cut").mkdir()
+    (land / "cut" / "m.json").write_text(json.dumps([metro()])[:-1])
+    with pytest.raises(STOPPED):
+        house.refresh_metro_stations(str(land / "cut"), DAY)
+    assert house.read("bike_location").count() == house.read("subway_location").count() == 1
+
+
 def test_incomplete_days_are_left_alone(spark, loaded):
     house, land = loaded
     days = [DAY, dt.date(2025, 2, 1)]

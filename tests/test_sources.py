@@ -3,11 +3,9 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from conftest import STOPPED, plan_of, values
 from tramline import schemas, sources
 from tramline.sources import paging
 
@@ -25,7 +23,7 @@ def test_json_arrays_as_files_and_as_lines(spark, tmp_path):
 
 def test_broken_json_stops_a_strict_scan(spark, tmp_path):
     (tmp_path / "bad.json").write_text('[{"a": "1"}, {"a"')
-    with pytest.raises((PySparkException, Py4JJavaError), match="bad.json"):
+    with pytest.raises(STOPPED, match="bad.json"):
         sources.scan_json_rows(spark, str(tmp_path), AB, array_files=True).collect()
 
 
@@ -88,6 +86,22 @@ def test_envelopes(frame):
     assert values(sources.unwrap_json_list(lists, "p", "data", AB)) == [("1", None)]
 
 
+def test_unreadable_documents(frame):
+    cut = frame("p string", ('{"svc": {"row": [{"a": "1"}',))
+    assert sources.unwrap_json_envelope(cut, "p", "svc", AB).count() == 0
+    assert values(sources.envelope_totals(cut, "p", "svc")) == [(None, True)]
+    bad = frame("p string", ("<r><row><a>1</a>",))
+    assert sources.unwrap_xml(bad, "p", AB).count() == 0
+    for strict in (
+        sources.unwrap_json_envelope(cut, "p", "svc", AB, strict=True),
+        sources.unwrap_json_list(cut, "p", "svc", AB, strict=True),
+        sources.array_position_seq(cut, "p", AB),
+        sources.unwrap_xml(bad, "p", AB, strict=True),
+    ):
+        with pytest.raises(STOPPED):
+            strict.collect()
+
+
 def pages_by_hand(total: int, size: int) -> list[tuple]:
     return [(s, min(s + size - 1, total)) for s in range(1, total + 1, size)]
 

@@ -20,7 +20,7 @@ from tramline.sinks.tables import (
     replace_by_date,
     replace_days,
 )
-from tramline.sources.audit import landing_audit
+from tramline.sources.audit import IncompleteLanding, landing_audit
 from tramline.sources.files import scan_glob, scan_hourly_json, scan_json_rows, scan_xml_rows
 from tramline.sources.payloads import array_position_seq
 from tramline.sources.ranges import (
@@ -130,21 +130,26 @@ class Warehouse:
                 raise MissingDays(f"no rows for {sorted(row[DAY] for row in absent)}")
         self.load_subway_range(landing, start, end, run)
 
-    # Places: replaced as a whole.
+    # Places: replaced as a whole, unless nothing was landed.
 
     def refresh_bike_locations(self, landing: str, array_files: bool = False) -> None:
         raw = scan_json_rows(self.spark, landing, schemas.RAW_BIKE_STATION, array_files)
-        self._refresh("bike_location", clean.clean_bike_station(raw))
+        self._refresh_places("bike_location", raw, clean.clean_bike_station(raw))
 
     def refresh_bus_stops(self, landing: str, array_files: bool = False) -> None:
         raw = scan_json_rows(self.spark, landing, schemas.RAW_BUS_STOP, array_files)
-        self._refresh("bus_stop_location", clean.clean_bus_stop(raw))
+        self._refresh_places("bus_stop_location", raw, clean.clean_bus_stop(raw))
 
     def refresh_metro_stations(self, landing: str, created: date) -> None:
         """``landing`` holds the record array as text, one document per file."""
         documents = self.spark.read.text(landing, wholetext=True)
         raw = array_position_seq(documents, "value", schemas.RAW_METRO_STATION)
-        self._refresh("subway_location", clean.clean_metro_station(raw, created))
+        self._refresh_places("subway_location", raw, clean.clean_metro_station(raw, created))
+
+    def _refresh_places(self, name: str, raw: DataFrame, rows: DataFrame) -> None:
+        if raw.isEmpty():
+            raise IncompleteLanding(f"nothing was landed for {name}")
+        self._refresh(name, rows)
 
     def _refresh(self, name: str, rows: DataFrame) -> None:
         full_refresh(self._aligned(rows, name), self.path(name))

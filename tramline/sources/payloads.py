@@ -1,6 +1,8 @@
 """Documents held in a column: API envelopes, bare arrays and XML pages.
 
 A page holds at most a page's worth of rows, so one document always fits in a task.
+``strict`` makes an unreadable document stop the job; otherwise it gives no rows, and the
+totals report it as lacking its key.
 """
 
 from __future__ import annotations
@@ -18,15 +20,20 @@ def _inline(documents: DataFrame, keep: Sequence[str], rows: Column) -> DataFram
     return documents.select(*keep, F.inline(rows))
 
 
+def _mode(strict: bool) -> dict[str, str]:
+    return {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+
 def unwrap_json_envelope(
     documents: DataFrame,
     payload: str,
     service: str,
     row: StructType,
     keep: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of ``{service: {list_total_count, row: [...]}}``; a document without them gives none."""
-    parsed = F.from_json(F.col(payload), envelope(service, row))
+    parsed = F.from_json(F.col(payload), envelope(service, row), _mode(strict))
     return _inline(documents, keep, parsed[service]["row"])
 
 
@@ -43,11 +50,16 @@ def envelope_totals(
 
 
 def unwrap_json_list(
-    documents: DataFrame, payload: str, key: str, row: StructType, keep: Sequence[str] = ()
+    documents: DataFrame,
+    payload: str,
+    key: str,
+    row: StructType,
+    keep: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of ``{key: [...]}``; an absent key gives none."""
     shape = StructType([StructField(key, ArrayType(row))])
-    return _inline(documents, keep, F.from_json(F.col(payload), shape)[key])
+    return _inline(documents, keep, F.from_json(F.col(payload), shape, _mode(strict))[key])
 
 
 def array_position_seq(
@@ -56,22 +68,27 @@ def array_position_seq(
     row: StructType,
     keep: Sequence[str] = (),
     name: str = "seq_no",
+    strict: bool = True,
 ) -> DataFrame:
     """Rows of a JSON array with their 1-based place in it, counted before any filter."""
-    items = F.from_json(F.col(payload), ArrayType(row))
+    items = F.from_json(F.col(payload), ArrayType(row), _mode(strict))
     placed = documents.select(*keep, F.posexplode(items).alias("_at", "_item"))
     return placed.select(*keep, "_item.*", (F.col("_at") + 1).alias(name))
 
 
 def unwrap_xml(
-    documents: DataFrame, payload: str, row: StructType, keep: Sequence[str] = ()
+    documents: DataFrame,
+    payload: str,
+    row: StructType,
+    keep: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of an XML page held in a column; a page without ``<row>`` gives none.
 
     Text keeps its spaces; an absent or empty child is null.
     """
     shape = StructType([StructField("row", ArrayType(row))])
-    options = {"ignoreSurroundingSpaces": "false", "nullValue": ""}
+    options = {"ignoreSurroundingSpaces": "false", "nullValue": "", **_mode(strict)}
     parsed = F.from_xml(F.col(payload), shape, options)
     return _inline(documents, keep, parsed["row"])
 
