@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,11 +32,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh path below the folder all executors share (``spark.checkpoint.dir``).
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without that setting it lies below the warehouse, never in a machine-local temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.gettempdir()
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/tramline-{label}-{uuid.uuid4().hex}"
