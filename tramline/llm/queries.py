@@ -11,6 +11,7 @@ from tramline.llm.common import table
 from tramline.llm.decontaminate import contamination_digest
 from tramline.llm.packing import pack
 from tramline.llm.simhash import near_duplicates
+from tramline.llm.substrings import substring_digest
 from tramline.llm.token_files import token_file_digest
 from tramline.session import configure
 
@@ -41,6 +42,38 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(spark, table(spark, folder, "documents"), VOCABULARY, end_id=2)
 
 
+SUBSTRINGS_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM texts WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places
+  FROM (SELECT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later) GROUP BY doc_id),
+kept AS (
+  SELECT t.doc_id, t.w, CASE WHEN g.places IS NULL THEN t.w ELSE k.words END AS k
+  FROM texts t LEFT JOIN gone g USING (doc_id)
+  LEFT JOIN (
+    SELECT doc_id, list(word ORDER BY p) AS words
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM texts)
+    WHERE (doc_id, p) NOT IN (SELECT doc_id, unnest(places) FROM gone) GROUP BY doc_id) k USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(len(w) - coalesce(len(k), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
+@query("op4_substrings", SUBSTRINGS_SQL)
+def substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without passages that also start earlier."""
+    return substring_digest(table(spark, folder, "documents"))
+
+
 @query("op6_simhash")
 def simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
