@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+from tramline.llm import quality, toxicity
+from tramline.llm.chat import formatted_digest
 from tramline.llm.common import table
 from tramline.llm.decontaminate import contamination_digest
+from tramline.llm.neighbours import nearest
 from tramline.llm.packing import pack
+from tramline.llm.sharding import SHARD_BYTES, shard_digest
 from tramline.llm.simhash import near_duplicates
 from tramline.llm.substrings import substring_digest
 from tramline.llm.token_files import token_file_digest
@@ -18,8 +22,7 @@ from tramline.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-#: The vocabulary file of the token queries.
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = corpus_pipeline.VOCABULARY
 
 
 def query(key: str, sql: str | None = None):
@@ -36,6 +39,45 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+spelled AS (
+  SELECT *, length(text) + coalesce(list_sum(list_transform(
+           regexp_extract_all(text, '\\*### '), lambda x: length(x) - 3)), 0)
+         + coalesce(list_sum(list_transform(
+           regexp_extract_all(text, '\\*</turn>'), lambda x: length(x) - 6)), 0)
+         + length(regexp_extract(text, '\\*$')) AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + length(role) + 2 + n + 8) AS BIGINT) AS formatted_chars
+FROM spelled GROUP BY conv_id
+"""
+
+
+@query("op2_chat", CHAT_SQL)
+def chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted, written, and parsed again."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"),
+    )
+    return formatted_digest(given.union(more))
+
+
 @query("op3_token_files")
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, written and read back."""
@@ -74,10 +116,16 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substring_digest(table(spark, folder, "documents"))
 
 
+@query("op5_neighbours")
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query("op6_simhash")
 def simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,6 +167,33 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+SHARDING_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS code
+  FROM documents),
+levels AS (SELECT doc_id, bytes, depth, code >> (32 - depth) AS bucket
+           FROM sized, (SELECT CAST(unnest(generate_series(0, 32)) AS INTEGER) AS depth)),
+sums AS (SELECT depth, bucket, CAST(sum(bytes) AS BIGINT) AS shard_bytes
+         FROM levels GROUP BY depth, bucket HAVING sum(bytes) <= {SHARD_BYTES})
+SELECT doc_id, bytes, depth, bucket, shard_bytes
+FROM levels JOIN sums USING (depth, bucket)
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
+
+@query("op8_sharding", SHARDING_SQL)
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document."""
+    return shard_digest(table(spark, folder, "documents"))
+
+
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_packing")
 def packing(spark: SparkSession, folder: str) -> DataFrame:
     """The place of every piece of every document."""
@@ -126,3 +201,9 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after the other."""
+    return corpus_pipeline.run(spark, folder)

@@ -15,7 +15,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tramline.llm.common import written
 from tramline.llm.components import components
@@ -51,15 +51,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(set_bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE):
-    """(doc_id, fp) of every row; null text has the fingerprint 0."""
+def fingerprints(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """(doc_id, fp, own) of every row; null text has the fingerprint 0."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(text, shingle) for text in texts], dtype="int64")
 
+    own = F.struct(*(F.col(f"`{name}`") for name in keep)) if keep else F.lit(True)
     return docs.select(
-        F.col(id_column).alias("doc_id"), of(F.col(text_column).cast("string")).alias("fp")
+        F.col(id_column).alias("doc_id"), of(F.col(text_column).cast("string")).alias("fp"), own.alias("own")
     )
 
 
@@ -120,15 +127,21 @@ def near_links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id): every row with the smallest id it reaches by links.
+    """(doc_id, fingerprint, component_id, root, own) of every row.
 
-    Rows with the same fingerprint are one class; only classes are compared, so copies cost no
-    pairs. Null and empty texts have fingerprint zero and link like any other. A null id keeps
-    its row but names a component only if all ids in it are null. An empty table gives no rows.
+    ``component_id`` is the smallest id the row reaches by links, ``root`` names the component
+    itself, ``own`` holds the columns ``keep`` of the row. Rows with the same fingerprint are one
+    class; only classes are compared, so copies cost no pairs. Null and empty texts have
+    fingerprint zero and link like any other. A null id keeps its row but names a component only
+    if all ids in it are null. Rows that share an id stay separate. An empty table gives no rows.
     """
-    prints = written(fingerprints(docs, id_column, text_column, shingle), "prints")
+    prints = written(fingerprints(docs, id_column, text_column, shingle, keep), "prints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(classes.select("fp")))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
@@ -136,7 +149,18 @@ def near_duplicates(
     )
     rooted = written(rooted, "classes")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
+    named = rooted.join(names, "root").select("fp", "component_id", "root")
     return prints.join(named, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", "own"
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that of the smallest id.
+
+    Of rows that share this id, the one with the least fingerprint stays, then the least text.
+    """
+    found = near_duplicates(docs, id_column, text_column, keep=tuple(docs.columns))
+    first = Window.partitionBy("root").orderBy("fingerprint", F.col("own").getField(text_column))
+    named = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return named.withColumn("nth", F.row_number().over(first)).filter("nth = 1").select("own.*")
