@@ -9,9 +9,9 @@ prefixes of words:
   neighbours travels once, as one stretch of words, and not word by word.
 * A prefix that occurs once has no internal node above it: its suffixes are dropped before any
   text moves.
-* A prefix with more than ``CROWDED`` occurrences is made longer, to all ``depth`` words. Its
-  suffixes are then grouped by themselves, with partial minima before the shuffle, so that a
-  passage found in a third of all documents is no single group.
+* A prefix with more than ``CROWDED`` occurrences is made longer, to the whole run of its
+  suffixes and then to all ``depth`` words of each, with partial minima before the shuffles, so
+  that a passage found in a third of all documents is no single group.
 
 A task builds the trees of its groups by naming: each word gets a number, each pair of
 neighbouring numbers a number of its own, and so on for 4, 8, 16 and ``depth`` words. Suffixes
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -113,7 +114,7 @@ def _find_anchors(depth: int, prefix: int):
 
 
 def _stretches(depth: int):
-    """The words of each run of suffixes; of a crowded prefix, the 128-bit hash of each suffix."""
+    """The words of each run of suffixes; a crowded prefix gives way to the whole run's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, SLICE_CHARS, "text"):
@@ -124,29 +125,48 @@ def _stretches(depth: int):
                 words = words_of(text)
                 for gram, packed, crowded in zip(*(runs.values.field(name).to_pylist() for name in ("gram", "run", "crowded"))):
                     first, many = packed >> 8, packed & 255
-                    stretch = words[first : first + many + depth - 1]
+                    stretch, more = b" ".join(words[first : first + many + depth - 1]), 0
                     if crowded:
-                        rows = [
-                            (*np.frombuffer(xxhash.xxh128_digest(b" ".join(stretch[j : j + depth])), "<i8").tolist(), first + j, 1, None)
-                            for j in range(many)
-                        ]
-                    else:
-                        rows = [(gram, 0, first, many, b" ".join(stretch))]
-                    for row in rows:
-                        for name, value in zip(_STRETCH.names, (doc, mark, *row)):
-                            out[name].append(value)
+                        gram, more = _hash128(stretch)
+                    for name, value in zip(_STRETCH.names, (doc, mark, gram, more, first, many, crowded, stretch)):
+                        out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=_STRETCH)
 
     return run
 
 
+def _hash128(data: bytes) -> tuple[int, int]:
+    return tuple(np.frombuffer(xxhash.xxh128_digest(data), "<i8").tolist())
+
+
+def _suffixes(depth: int):
+    """(step, hash, earliest place) of each suffix of a run of a lengthened prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [data.split() for data in batch.column("words").to_pylist()]
+            many = [len(own) - depth + 1 for own in words]
+            row = pa.array(np.repeat(np.arange(len(words)), many))
+            hashes = [_hash128(b" ".join(own[j : j + depth])) for own, n in zip(words, many) for j in range(n)]
+            step = [j for n in many for j in range(n)]
+            kept = [batch.column(name).take(row) for name in ("gram", "more", "doc", "mark", "first", "n")]
+            place = pa.compute.add(kept[4], pa.array(step, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [kept[0], kept[1], pa.array(step, pa.int32()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()), kept[2], kept[3], place, kept[5]],
+                ["gram", "more", "step", "high", "low", "doc", "mark", "first", "n"],
+            )
+
+    return run
+
+
 _STRETCH = pa.schema(
     [
         ("doc", pa.int64()), ("mark", pa.int32()), ("gram", pa.int64()), ("more", pa.int64()),
-        ("first", pa.int64()), ("many", pa.int64()), ("words", pa.binary()),
+        ("first", pa.int64()), ("many", pa.int64()), ("crowded", pa.bool_()), ("words", pa.binary()),
     ]
 )
-_STRETCH_DDL = "doc long, mark int, gram long, more long, first long, many long, words binary"
+_STRETCH_DDL = "doc long, mark int, gram long, more long, first long, many long, crowded boolean, words binary"
+_SUFFIX_DDL = "gram long, more long, step int, high long, low long, doc long, mark int, first long, n long"
 
 
 def _named_pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -221,7 +241,7 @@ def _trees(depth: int):
 
 
 def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX) -> DataFrame:
-    """(doc, mark, run): runs of window starts, place * 2**32 + number, that also start earlier.
+    """(doc, mark, runs): runs of window starts, place * 2**32 + number, that also start earlier.
 
     ``docs`` has (doc, mark, text); doc and mark together tell documents apart and order them.
     """
@@ -230,31 +250,60 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
         docs.mapInArrow(_find_anchors(depth, prefix), "gram long, doc long, mark int, run long"), "anchors"
     )
     counts = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = written(counts.select("gram", (F.col("n") > CROWDED).alias("crowded")), "prefixes")
     shared = (
-        found.join(counts.select("gram", (F.col("n") > CROWDED).alias("crowded")), "gram")
+        found.join(counts, "gram")
         .groupBy("doc", "mark")
         .agg(F.collect_list(F.struct("gram", "run", "crowded")).alias("runs"))
     )
     shared = written(shared, "shared")
     stretches = written(
-        docs.join(shared.hint("merge"), ["doc", "mark"]).select("doc", "mark", "text", "runs").mapInArrow(_stretches(depth), _STRETCH_DDL),
+        docs.join(shared.hint("merge"), ["doc", "mark"])
+        .select("doc", "mark", "text", "runs")
+        .mapInArrow(_stretches(depth), _STRETCH_DDL),
         "stretches",
     )
-    groups = stretches.filter("words is not null").repartition(n, "gram").sortWithinPartitions("gram")
-    repeats = groups.drop("more").mapInArrow(_trees(depth), "doc long, mark int, run long")
-    long_prefixes = stretches.filter("words is null").select("gram", "more", F.struct("doc", "mark", "first").alias("at"))
+    groups = stretches.filter("not crowded").select("gram", "doc", "mark", "first", "many", "words")
+    repeats = (
+        groups.repartition(n, "gram")
+        .sortWithinPartitions("gram")
+        .mapInArrow(_trees(depth), "doc long, mark int, run long")
+        .select("doc", "mark", F.array("run").alias("runs"))
+    )
+    return repeats.union(_crowded_repeats(stretches.filter("crowded"), depth))
+
+
+def _crowded_repeats(stretches: DataFrame, depth: int) -> DataFrame:
+    """(doc, mark, runs) of the lengthened prefixes.
+
+    Equal runs of suffixes count once, with partial minima before the shuffle; only the suffixes
+    of different runs are listed and grouped. Each run then learns, in one row, which of its
+    suffixes recur and where each is first; runs compare this with their own places.
+    """
+    different = written(
+        stretches.groupBy("gram", "more")
+        .agg(F.min(F.struct("doc", "mark", "first")).alias("at"), F.count("*").alias("n"), F.min("words").alias("words"))
+        .select("gram", "more", "at.*", "n", "words"),
+        "different",
+    )
+    suffixes = written(different.mapInArrow(_suffixes(depth), _SUFFIX_DDL), "suffixes")
     firsts = (
-        long_prefixes.groupBy("gram", "more")
-        .agg(F.min("at").alias("earliest"), F.count("*").alias("n"))
+        suffixes.groupBy("high", "low")
+        .agg(F.min(F.struct("doc", "mark", "first")).alias("earliest"), F.sum("n").alias("n"))
         .filter("n > 1")
         .drop("n")
     )
-    crowded = (
-        long_prefixes.join(firsts, ["gram", "more"])
-        .filter("at <> earliest")
-        .select("at.doc", "at.mark", F.expr("shiftleft(at.first, 32) + 1").alias("run"))
+    found = (
+        suffixes.join(written(firsts, "firsts"), ["high", "low"])
+        .groupBy("gram", "more")
+        .agg(F.collect_list(F.struct("step", "earliest")).alias("found"))
+    )
+    here = "transform(filter(found, x -> struct(doc, mark, first + x.step as first) <> x.earliest), x -> shiftleft(first + x.step, 32) + 1)"
+    return (
+        stretches.select("gram", "more", "doc", "mark", "first")
+        .join(written(found, "recurring"), ["gram", "more"])
+        .select("doc", "mark", F.expr(here).alias("runs"))
     )
-    return repeats.union(crowded)
 
 
 def without_repeats(
@@ -278,7 +327,7 @@ def without_repeats(
     runs = (
         repeated_windows(known.select("doc", "mark", text.alias("text")), depth)
         .groupBy("doc", "mark")
-        .agg(F.collect_list("run").alias("runs"))
+        .agg(F.flatten(F.collect_list("runs")).alias("runs"))
     )
     runs = written(runs, "repeats")
 
