@@ -101,12 +101,13 @@ def find_contamination(
     item_text: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_words, spans, items, and the columns ``keep``) of every row of ``docs``.
+    """(doc_id, n_words, spans, items) of every row of ``docs``; ``kept`` holds its columns ``keep``.
 
     ``spans`` are the merged runs of hit words, from 1, end included; ``items`` the sorted ids of
     the items that share a window with the text. A text without hits has empty lists, and so has
     every text if the benchmark is empty. Rows that share an id, or have none, stay separate.
     """
+    kept = F.struct(*(F.col(f"`{name}`") for name in keep)) if keep else F.lit(True)
     grams = written(benchmark_grams(benchmark, item_column, item_text), "grams")
     lengths = sorted(row.length for row in grams.select("length").distinct().collect())  # 1 to WINDOW
     bitmap = _bitmap(grams)
@@ -125,7 +126,7 @@ def find_contamination(
     screened = written(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
-            F.struct(F.col(id_column).alias("id"), *keep).alias("own"),
+            F.struct(F.col(id_column).alias("id"), kept.alias("kept")).alias("own"),
             _let(words(F.col(text_column)), screen).alias("seen"),
         ),
         "screened",
@@ -151,7 +152,7 @@ def find_contamination(
         "n_words",
         F.coalesce("spans", none).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        *(F.col(f"own.{name}").alias(name) for name in keep),
+        *([F.col("own.kept")] if keep else []),
     )
 
 
@@ -172,11 +173,8 @@ def _merged(runs: str) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
     """The rows of ``docs``, with all their columns, whose text shares no window with the benchmark."""
-    keep = tuple(docs.columns)
-    found = find_contamination(
-        docs.select(*(F.col(f"`{name}`") for name in keep)), benchmark, id_column, text_column, keep=keep
-    )
-    return found.filter(F.size("items") == 0).filter(F.size("spans") == 0).select(*keep)
+    found = find_contamination(docs, benchmark, id_column, text_column, keep=tuple(docs.columns))
+    return found.filter(F.size("spans") == 0).select("kept.*")
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tramline.llm.common import parallelism, pieces, whole, written
+from tramline.llm.common import parallelism, pieces, whole
 from tramline.llm.tokens import encoded
 from tramline.session import scratch_path
 
@@ -170,11 +170,11 @@ def write_token_files(
 
     Null text counts as empty: its document has the end id alone. Rows with a null id come
     first, under the id -2**63; rows that share an id stay separate, in no stated order. An
-    empty table gives files without pages. The ids are tokenized once, into a written table;
-    a range exchange on the id then gives each task one shard, whatever the order of the input.
+    empty table gives files without pages. A range exchange on the id gives each task one shard,
+    whatever the order of the input; the task tokenizes as it writes, so ids never move. To find
+    the ranges ``docs`` is read twice: pass a table, not a costly plan.
     """
     spark = docs.sparkSession
-    ids = written(tokenize(docs, tokenizer, end_id, id_column, text_column), "token-ids")
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, page, first = TaskContext.get().partitionId(), 0, 0
@@ -196,19 +196,22 @@ def write_token_files(
             held.clear()
             return pa.RecordBatch.from_pylist([row], schema=_PAGE_ARROW)
 
-        for batch in batches:
-            for doc, data in zip(batch.column("doc"), batch.column("ids")):
-                own = np.frombuffer(data.as_buffer(), "<u4")
+        for part in pieces(batches, SLICE_CHARS, "text"):
+            ids = encoded(tokenizer, part.column("text").to_pylist(), end_id)
+            for doc, own in zip(part.column("doc").to_pylist(), ids):
                 if held and size + len(own) > PAGE_IDS:
                     yield close()
-                doc_ids.append(doc.as_py())
+                doc_ids.append(doc)
                 held.append(own)
                 size += len(own)
         if held:
             yield close()
 
     (
-        ids.withColumn("doc", F.coalesce("doc", F.lit(-(2**63))))
+        docs.select(
+            F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("doc"),
+            whole(F.col(text_column)).alias("text"),
+        )
         .repartitionByRange(parallelism(spark), "doc")
         .sortWithinPartitions("doc")
         .mapInArrow(pages, _PAGE)

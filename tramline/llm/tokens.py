@@ -11,10 +11,11 @@ import json
 import unicodedata
 from array import array
 from functools import lru_cache
+from itertools import islice
 from sys import byteorder
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: Words a process remembers; at the bound it forgets all and goes on.
 REMEMBERED = 700_000
@@ -46,10 +47,18 @@ class WordEncoder:
             token["lstrip"] or token["rstrip"] or token["single_word"] or token["content"].split() != [token["content"]]
             for token in added
         )
-        self.letters = _byte_letters()
+        self.letters = dict(enumerate(_byte_letters()))
         # Marks that end no added token may be cut off a word's end.
         self.marks = "".join(set(".,!?;:#$%&*") - set("".join(token["content"] for token in added)))
         self.direct = self.plain and self._agrees("ProBe") and self._agrees("Épreuveß")
+        # The library with the model alone, for words that are spelled already; an id that ends
+        # a word tells where the next begins.
+        self.alone = Tokenizer(self.model)
+        self.alone.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = rules["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[n for token, n in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -64,8 +73,10 @@ class WordEncoder:
 
     def _spelled(self, word: str) -> str:
         """A word of Latin letters as the model sees it: composed, lower case, a letter a byte."""
-        low = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-        return low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+        if word.isascii():
+            return word.lower()
+        low = unicodedata.normalize("NFC", word).lower()
+        return low.encode().decode("latin-1").translate(self.letters)
 
     def _agrees(self, word: str) -> bool:
         """Whether the library prepares the word like ``_spelled``."""
@@ -85,8 +96,8 @@ class WordEncoder:
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
+            if len(known) > REMEMBERED:  # frequent words are met, and so stand, first
+                known = self.known = dict(islice(known.items(), REMEMBERED // 2))
             self._learn([word for word in set(words) if word not in known])
             return b"".join(map(known.__getitem__, words))
 
@@ -100,7 +111,7 @@ class WordEncoder:
         Marks behind a letter or digit are a word of their own to the rules. A word of Latin
         letters goes straight to the library's model; the others take all its steps.
         """
-        known, slow, joined = self.known, [], []
+        known, quick, slow, joined = self.known, {}, {}, []
         for word in words:
             text = word.decode("utf-8", "replace")
             base = text.rstrip(self.marks)
@@ -108,20 +119,30 @@ class WordEncoder:
                 parts = base.encode(), text[len(base) :].encode()
                 joined.append((word, *parts))
                 if parts[1] not in known:
-                    slow.append(parts[1])
+                    slow[parts[1]] = None
                 word, text = parts[0], base
                 if word in known:
                     continue
             if self.direct and text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
-                known[word] = self._pack([token.id for token in self.model.tokenize(self._spelled(text))])
+                quick[word] = self._spelled(text)
             else:
-                slow.append(word)
-        slow = list(dict.fromkeys(slow))
+                slow[word] = None
+        self._learn_spelled(quick)
+        slow = list(slow)
         for start in range(0, len(slow), _CHUNK):
             self._learn_together(slow[start : start + _CHUNK])
         for word, base, marks in joined:
             known[word] = known[base] + known[marks]
 
+    def _learn_spelled(self, words: dict[bytes, str]) -> None:
+        """Words that only the model has to see."""
+        if words:
+            line = " ".join(words.values())
+            ids = np.asarray(self.alone.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.known.update((word, data[a:b]) for word, a, b in zip(words, [0, *stops], stops))
+
     def _learn_together(self, words: list[bytes]) -> None:
         """One call for several words; the offsets tell whose ids are whose."""
         texts = [word.decode("utf-8", "replace") for word in words]
