@@ -20,6 +20,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 #: Words a process remembers; at the bound it forgets all and goes on.
 REMEMBERED = 700_000
 _CHUNK = 64
+_LINE = 1_000
 
 
 def ids_type(n_ids: int) -> str:
@@ -85,21 +86,19 @@ class WordEncoder:
             return False
         return [p for p, _ in steps[1].pre_tokenize_str(steps[0].normalize_str(word))] == [self._spelled(word)]
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids of the whole text; null and empty texts have none."""
-        if not text:
-            return b""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each whole text; null and empty texts have none.
+
+        New words of all the texts are learned together, which costs the library half as much.
+        """
         if not self.plain:
-            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = text.encode("utf-8", "surrogatepass").split()
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > REMEMBERED:  # frequent words are met, and so stand, first
-                known = self.known = dict(islice(known.items(), REMEMBERED // 2))
-            self._learn([word for word in set(words) if word not in known])
-            return b"".join(map(known.__getitem__, words))
+            return [self._pack(self.tokenizer.encode(text or "", add_special_tokens=False).ids) for text in texts]
+        split = [text.encode("utf-8", "surrogatepass").split() if text else [] for text in texts]
+        if len(self.known) > REMEMBERED:  # frequent words are met, and so stand, first
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+        self._learn(list(set().union(*split).difference(self.known)))
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, words)) for words in split]
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -136,12 +135,14 @@ class WordEncoder:
 
     def _learn_spelled(self, words: dict[bytes, str]) -> None:
         """Words that only the model has to see."""
-        if words:
-            line = " ".join(words.values())
+        spelled = list(words.items())
+        for start in range(0, len(spelled), _LINE):
+            part = spelled[start : start + _LINE]
+            line = " ".join(text for _, text in part)
             ids = np.asarray(self.alone.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             data = ids.tobytes()
-            self.known.update((word, data[a:b]) for word, a, b in zip(words, [0, *stops], stops))
+            self.known.update((word, data[a:b]) for (word, _), a, b in zip(part, [0, *stops], stops))
 
     def _learn_together(self, words: list[bytes]) -> None:
         """One call for several words; the offsets tell whose ids are whose."""
@@ -166,5 +167,5 @@ def encoded(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]
     """The ids of each text with the end id behind them."""
     tail = np.asarray([end_id], dtype="<u4").tobytes()
     own = encoder(path)
-    return [np.frombuffer(own.encode(text) + tail, dtype="<u4") for text in texts]
+    return [np.frombuffer(ids + tail, dtype="<u4") for ids in own.encode(texts)]
 
