@@ -20,7 +20,7 @@ from tramline.llm.common import written
 from tramline.llm.token_files import tokenize
 
 #: Pieces of one length that share a ranking group, on average.
-RANK_GROUP = 50_000
+RANK_GROUP = 2_000
 
 
 class Slots(NamedTuple):
