@@ -28,7 +28,7 @@ _SHAPES, _WORDS = 256, 192
 _STATS = 6
 WIDTH = _SHAPES + _WORDS + _STATS
 _HIDDEN, _GATE = 32, 16
-_REMEMBERED = 400_000
+_REMEMBERED = 150_000
 _CHUNK = 2_048  # passages encoded at a time
 
 

@@ -38,7 +38,7 @@ PREFIX = 8
 #: Occurrences of a prefix in one group; more make the prefix longer.
 CROWDED = 10_000
 SLICE_CHARS = 4 << 20
-_REMEMBERED = 500_000
+_REMEMBERED = 150_000
 
 
 class _WordHashes(dict):
