@@ -63,9 +63,13 @@ def test_text_rules(frame, rule, inputs, expected):
         (fx.coerce_int, "3.7"),
         (fx.to_date_strict, "20251331"),
         (fx.to_date_strict, "soon"),
+        (fx.to_date_strict, "2025013"),
+        (fx.to_date_strict, "202501"),
+        (fx.to_date_strict, "2025-01-31 junk"),
+        (fx.coerce_int_or_zero, "3000000000"),
         (partial(fx.xml_total_count, strict=True), "<r><a>1</a></r>"),
     ],
-    ids=range(9),
+    ids=range(13),
 )
 def test_strict_rules_stop(frame, rule, text):
     fails(frame, "string", rule, text)

@@ -161,3 +161,15 @@ def test_sets(frame):
     both = op.union_all_conformed([ints, texts], {"id": "string", "n": "string"})
     assert values(both) == [("1", "x"), ("A1", "y")]
     assert values(op.sample_head(pairs, F.col("b").desc(), "a", n=1)) == [(None, 2)]
+
+
+@pytest.mark.parametrize("max_rows", [500_000, 0])
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("double", "double")])
+def test_key_types_are_checked_at_any_size(frame, max_rows, kinds):
+    from tramline.operators.joins import attach, join_distinct
+
+    one = 1.0 if "double" in kinds else 1
+    rows, dimension = frame(f"k {kinds[0]}", (one,)), frame(f"k {kinds[1]}, v int", (one, 2))
+    for join in (attach, join_distinct):
+        with pytest.raises(TypeError):
+            join(rows, dimension, ["k"], max_rows)

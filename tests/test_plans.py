@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from conftest import STOPPED, plan_of, values
 from tramline import plans, schemas, sources
 from tramline.functions import surrogate_key
+from tramline.sources.audit import IncompleteLanding
 
 RUN = dt.datetime(2025, 2, 1)
 DAY = dt.date(2025, 1, 31)
@@ -328,16 +329,45 @@ def test_incomplete_days_are_left_alone(spark, loaded):
 
 def test_hour_files(spark, tmp_path):
     house = plans.Warehouse(spark, str(tmp_path / "house"))
-    for hour in (4, 6):
+
+    def land(hour, rows, cut=None):
         folder = tmp_path / "land" / f"usage_time={hour:02d}"
-        folder.mkdir(parents=True)
-        text = json.dumps([rental(RENT_HR=str(hour)), rental(RENT_HR=str(hour), EXER_AMT=None)])
-        (folder / "data.json").write_text(text[:-3] if hour == 6 else text)
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "data.json").write_text(json.dumps(rows)[:cut])
+
+    land(4, [rental(RENT_HR="4"), rental(RENT_HR="4", EXER_AMT=None), rental(RENT_HR="4", USE_CNT="many")])
+    land(5, [rental(RENT_HR="5")])
     for _ in range(2):
+        assert house.load_bike_day_by_hour(str(tmp_path / "land"), RUN) == []
+    shown = ("usage_time", "station_name", "calories", "usage_date")
+    whole = [(4, "102. A.B", 0, DAY), (4, "102. A.B", 3, DAY), (5, "102. A.B", 3, DAY)]
+    assert values(house.read("bike_usage_by_hour").select(*shown)) == whole
+    rejects = spark.read.parquet(house.path("bike_usage_by_hour_rejects")).collect()
+    assert [r["_rejected_columns"] for r in rejects] == [["usage_count"]] and '"many"' in rejects[0]["_raw"]
+
+    land(5, [rental(RENT_HR="5")], cut=-3)
+    with pytest.raises(IncompleteLanding, match="usage_time=05"):
         house.load_bike_day_by_hour(str(tmp_path / "land"), RUN)
-    got = house.read("bike_usage_by_hour").select("usage_time", "station_name", "calories", "usage_date")
-    assert values(got) == [(4, "102. A.B", 0, DAY), (4, "102. A.B", 3, DAY)]
-    assert spark.read.parquet(house.path("bike_usage_by_hour_rejects")).count() == 0
+    assert values(house.read("bike_usage_by_hour").select(*shown)) == whole
+    skipped = house.load_bike_day_by_hour(str(tmp_path / "land"), RUN, partial=True)
+    assert len(skipped) == 1 and "usage_time=05" in skipped[0]
+    assert house.read("bike_usage_by_hour").count() == 2
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<RESULT><CODE>ERROR-300</CODE></RESULT>",
+        "<r><list_total_count>5</list_total_count><row><USE_YMD>20250131</USE_YMD></row></r>",
+    ],
+)
+def test_an_incomplete_bus_landing_leaves_the_day(spark, loaded, page):
+    house, land = loaded
+    before = values(house.read("bus_usage"))
+    (land / "bus" / "bus.xml").write_text(page)
+    with pytest.raises(IncompleteLanding):
+        house.load_bus_day(str(land / "bus"), RUN)
+    assert values(house.read("bus_usage")) == before
 
 
 def test_bike_history(spark, loaded):

@@ -194,3 +194,65 @@ def test_only_complete_days_are_ingested(spark, frame, table):
     assert sinks.ingest_days_if_complete(batch, audit, table) == [D1, D3]
     assert content(spark, table) == [(10, D1), (3, D2), (40, D3)]
     assert sinks.ingest_days_if_complete(batch, audit.where("status = 'short'"), table) == []
+
+
+def test_a_failed_swap_leaves_the_old_table(spark, frame, tmp_path, monkeypatch):
+    from tramline.sinks import tables
+
+    path = str(tmp_path / "swap")
+    tables.full_refresh(frame("a int", (1,)), path)
+    real = tables._place
+
+    class Stubborn:
+        def __init__(self, fs):
+            self.fs, self.moves = fs, 0
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, source, target):
+            self.moves += 1
+            return False if self.moves == 2 else self.fs.rename(source, target)
+
+    made = {}
+
+    def place(session, where):
+        spot, fs = real(session, where)
+        return spot, made.setdefault("fs", Stubborn(fs))
+
+    monkeypatch.setattr(tables, "_place", place)
+    with pytest.raises(OSError):
+        tables.full_refresh(frame("a int", (2,)), path)
+    monkeypatch.undo()
+    assert values(spark.read.parquet(path)) == [(1,)]
+
+
+def test_a_table_set_aside_comes_back(spark, frame, tmp_path):
+    from tramline.sinks import tables
+
+    path = tmp_path / "aside"
+    tables.full_refresh(frame("a int", (1,)), str(path))
+    path.rename(tmp_path / "_aside-0123-old")
+    assert tables.restore(spark, str(path)) and values(spark.read.parquet(str(path))) == [(1,)]
+    assert not tables.restore(spark, str(path))
+
+
+def test_values_that_would_change_do_not_fit(spark, frame):
+    from pyspark.sql.types import StructType
+
+    from tramline.sinks import accepted, align_by_name, load_continue, rejected
+
+    rows = frame("n double, d timestamp", (3.0, None), (3.7, None), (3e12, None))
+    target = StructType.fromDDL("n int, d date")
+    loaded = load_continue(rows, target)
+    assert values(accepted(loaded)) == [(3, None)] and rejected(loaded).count() == 2
+    with pytest.raises(Exception, match="bad value 3.7"):
+        align_by_name(rows, target).collect()
+
+
+def test_many_days_make_few_files(spark, tmp_path):
+    from tramline.sinks import append_load
+
+    rows = spark.range(0, 1200, 1, 40).selectExpr("id", "CAST(id % 30 AS INT) AS day")
+    append_load(rows, str(tmp_path / "days"), ["day"], gather=True)
+    assert len(list((tmp_path / "days").glob("day=*/*.parquet"))) == 30

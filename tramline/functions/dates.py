@@ -7,9 +7,20 @@ from pyspark.sql import Column, functions as F
 from tramline.constants import WEEKDAYS_KR
 
 
+_DASHED = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*(Z|[+-]\d{1,2}(:?\d{2})?)?)?\s*$"
+_COMPACT = r"^\s*\d{8}\s*$"
+
+
+def to_date_or_null(text: Column) -> Column:
+    """A whole ``yyyyMMdd`` or ``yyyy-M-d``, the latter with an optional time; all else is null."""
+    shown = text.cast("string")
+    compact = F.try_to_date(F.trim(shown), "yyyyMMdd")
+    return F.when(shown.rlike(_COMPACT), compact).when(shown.rlike(_DASHED), text.try_cast("date"))
+
+
 def to_date_strict(text: Column) -> Column:
-    """Text to date; null stays null, unreadable text stops the job."""
-    parsed = F.coalesce(text.try_cast("date"), F.try_to_date(text, "yyyyMMdd"))
+    """Text to date; null stays null, text that is not a whole date stops the job."""
+    parsed = to_date_or_null(text)
     bad = F.raise_error(F.concat(F.lit("not a date: "), text.cast("string")))
     return F.when(text.isNotNull(), F.coalesce(parsed, bad))
 

@@ -49,9 +49,14 @@ def coerce_int(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint"), F.when(in_range, whole))
 
 
+def checked_int(value: Column) -> Column:
+    """A number as ``int``; null stays null, one out of range stops the job."""
+    return F.when(value.isNotNull(), F.coalesce(value.try_cast("int"), _stop("out of range", value)))
+
+
 def coerce_int_or_zero(value: Column) -> Column:
-    """Number truncated toward zero; 0 when missing or not a number."""
-    return F.coalesce(coerce_double(value).cast("int"), F.lit(0))
+    """Number truncated toward zero, out of range an error; 0 when missing or not a number."""
+    return F.coalesce(checked_int(coerce_double(value)), F.lit(0))
 
 
 def zero_to_null(value: Column) -> Column:

@@ -29,7 +29,7 @@ def filter_in_list(rows: DataFrame, column: str, values: Sequence[Any]) -> DataF
 
 def require_fields(rows: DataFrame, *columns: str) -> DataFrame:
     """Drop a record that lacks any of the fields."""
-    return rows.where(_all_present(columns))
+    return filter_not_null(rows, *columns)
 
 
 def high_water_mark(rows: DataFrame, stamp: str) -> str | None:

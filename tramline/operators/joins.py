@@ -42,8 +42,9 @@ def attach(
     """Inner join on same-named columns. Null keys never match; duplicate keys fan out.
 
     A dimension counted to be small is broadcast, so the large side does not move. Any other
-    is shuffled by :func:`skew_join`.
+    is shuffled by :func:`skew_join`. Keys must be of one type and not fractions at any size.
     """
+    _check_keys(rows, dimension, list(keys))
     if fits(dimension, max_rows):
         return rows.join(F.broadcast(dimension), list(keys))
     return skew_join(rows, dimension, keys)
@@ -81,7 +82,7 @@ def skew_join(
     slots = F.broadcast(rows.sparkSession.createDataFrame(hot, "_print bigint, _slots int"))
     count = F.coalesce("_slots", F.lit(1))
     # Same slot again if a task is repeated; copies of one row differ by input partition.
-    slot = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), count).cast("int")
+    slot = F.pmod(F.pmod(F.xxhash64(*rows.columns), count) + F.spark_partition_id(), count).cast("int")
     each_slot = F.explode(F.sequence(F.lit(0), count - 1))
     spread = _with_slots(rows, keys, slots).withColumn("_slot", slot).drop("_print", "_slots")
     copied = _with_slots(dimension, keys, slots).withColumn("_slot", each_slot).drop("_print", "_slots")
@@ -113,6 +114,7 @@ def join_distinct(
     what moves is one row per station and task instead of every usage row. The size check
     counts the places before their own DISTINCT, an upper bound that costs no shuffle.
     """
+    _check_keys(usage, places, list(keys))
     stations, spots = usage.distinct(), places.distinct()
     if fits(places, max_rows):
         return stations.join(F.broadcast(spots), list(keys))

@@ -29,7 +29,7 @@ def clean_bike_usage(raw: DataFrame, run: datetime) -> DataFrame:
         drop_strict(raw, schemas.PAGING_COLUMNS), list(schemas.BIKE_USAGE_NAMES.values())
     )
     whole = {
-        name: fx.coerce_int(F.col(name)).cast("int")
+        name: fx.checked_int(fx.coerce_int(F.col(name)))
         for name in ("usage_time", "usage_count", "duration")
     }
     real = {
@@ -65,6 +65,23 @@ def _clean_bike_usage_strictly(raw: DataFrame) -> DataFrame:
     )
 
 
+def bike_usage_faults(raw: DataFrame) -> Column:
+    """The names of the columns whose values the strict variant would stop at."""
+    back = {name: landed for landed, name in schemas.BIKE_USAGE_NAMES.items()}
+    value = {name: F.col(f"`{back[name]}`") for name in back}
+    whole = [(n, value[n].try_cast("int").isNull()) for n in ("usage_time", "usage_count", "duration")]
+    real = [
+        (n, value[n].isNotNull() & fx.coerce_double(value[n]).isNull())
+        for n in ("carbon_emission", "distance")
+    ]
+    burnt = fx.coerce_double(value["calories"])
+    others = [
+        ("usage_date", value["usage_date"].isNotNull() & fx.to_date_or_null(value["usage_date"]).isNull()),
+        ("calories", burnt.isNotNull() & burnt.try_cast("int").isNull()),
+    ]
+    return F.array_compact(F.array(*(F.when(bad, F.lit(n)) for n, bad in [*whole, *real, *others])))
+
+
 def clean_bike_usage_strict(raw: DataFrame) -> DataFrame:
     """The strict variant: a bad number stops the job, except calories (0 when unreadable).
 
@@ -118,8 +135,8 @@ def clean_bus_usage(raw: DataFrame, run: datetime) -> DataFrame:
     typed = rename_map(raw, schemas.BUS_USAGE_NAMES).withColumns(
         {
             "usage_date": fx.to_date_strict(F.col("usage_date")),
-            "boarding_count": fx.coerce_int(F.col("boarding_count")).cast("int"),
-            "getoff_count": fx.coerce_int(F.col("getoff_count")).cast("int"),
+            "boarding_count": fx.checked_int(fx.coerce_int(F.col("boarding_count"))),
+            "getoff_count": fx.checked_int(fx.coerce_int(F.col("getoff_count"))),
         }
     )
     return audit_stamp(typed, run)

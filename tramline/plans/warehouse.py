@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tramline import schemas
 from tramline.operators.columns import audit_stamp
 from tramline.plans import clean, dims, facts, staging
-from tramline.session import configure
-from tramline.sinks.conform import accepted, align_by_name, load_continue, rejected
+from tramline.session import configure, scratch_path
+from tramline.sinks.conform import align_by_name
 from tramline.sinks.files import write_parquet_chunked
 from tramline.sinks.tables import (
     append_load,
@@ -21,8 +21,8 @@ from tramline.sinks.tables import (
     replace_days,
 )
 from tramline.sources.audit import IncompleteLanding, landing_audit
-from tramline.sources.files import scan_glob, scan_hourly_json, scan_json_rows, scan_xml_rows
-from tramline.sources.payloads import array_position_seq
+from tramline.sources.files import broken_files, scan_glob, scan_hourly_json, scan_json_rows, scan_xml_rows
+from tramline.sources.payloads import array_position_seq, xml_totals
 from tramline.sources.ranges import (
     MissingDays,
     absent_days,
@@ -58,10 +58,22 @@ class Warehouse:
 
     def load_bike_day(self, landing: str, run: datetime, array_files: bool = False) -> None:
         raw = scan_json_rows(self.spark, landing, schemas.RAW_BIKE_USAGE, array_files)
+        if raw.isEmpty():
+            raise IncompleteLanding(f"no rows below {landing}")
         batch = self._aligned(clean.clean_bike_usage(raw, run), "bike_usage")
         replace_by_date(batch, self.path("bike_usage"), run.date() - timedelta(days=1))
 
     def load_bus_day(self, landing: str, run: datetime) -> None:
+        """Replace the day, but only if every page has its total and all promised rows came."""
+        pages = xml_totals(self.spark.read.text(landing, wholetext=True), "value")
+        promised = pages.agg(
+            F.max("list_total_count").alias("rows"), F.bool_or("key_absent").alias("absent")
+        ).first()
+        if promised["absent"] or promised["rows"] is None:
+            raise IncompleteLanding(f"a page below {landing} has no total")
+        landed = scan_xml_rows(self.spark, landing, schemas.RAW_BUS_USAGE).count()
+        if landed != promised["rows"]:
+            raise IncompleteLanding(f"{landed} of {promised['rows']} rows below {landing}")
         raw = scan_xml_rows(self.spark, landing, schemas.RAW_BUS_USAGE)
         batch = self._aligned(clean.clean_bus_usage(raw, run), "bus_usage")
         replace_by_date(batch, self.path("bus_usage"), run.date() - timedelta(days=1))
@@ -80,16 +92,30 @@ class Warehouse:
         audit = landing_audit(batch, promised, date_hour_spine(span), [DAY, "usage_time"])
         return ingest_days_if_complete(batch, audit, self.path("bike_usage"))
 
-    def load_bike_day_by_hour(self, landing: str, run: datetime) -> None:
-        """The strict variant, from a folder of hour files; absent or broken files are skipped.
+    def load_bike_day_by_hour(self, landing: str, run: datetime, partial: bool = False) -> list[str]:
+        """The strict variant, from a folder of hour files; returns the unreadable ones.
 
-        Rows that do not fit the table are kept aside in ``bike_usage_by_hour_rejects``.
+        An unreadable file stops the load before the day changes, unless ``partial`` allows a
+        day without it. Rows the strict rules would stop at are kept aside as landed, with the
+        names of the bad columns, in ``bike_usage_by_hour_rejects``. The landing is judged once,
+        into a written table that both outcomes are read from.
         """
-        raw = scan_hourly_json(self.spark, landing, schemas.RAW_BIKE_USAGE)
+        broken = broken_files(self.spark, landing, schemas.RAW_BIKE_USAGE)
+        if broken and not partial:
+            raise IncompleteLanding(f"unreadable: {broken}")
         name = "bike_usage_by_hour"
-        checked = load_continue(clean.clean_bike_usage_strict(raw), schemas.table_schema(name))
-        replace_by_date(accepted(checked), self.path(name), run.date() - timedelta(days=1))
-        full_refresh(rejected(checked), self.path(f"{name}_rejects"))
+        raw = scan_hourly_json(self.spark, landing, schemas.RAW_BIKE_USAGE)
+        place = scratch_path(self.spark, "judged-hours")
+        raw.withColumn("_rejected_columns", clean.bike_usage_faults(raw)).write.parquet(place)
+        judged = self.spark.read.parquet(place)
+        good = judged.where("size(_rejected_columns) = 0").drop("_rejected_columns")
+        bad = judged.where("size(_rejected_columns) > 0").select(
+            F.to_json(F.struct(*(f"`{column}`" for column in raw.columns))).alias("_raw"), "_rejected_columns"
+        )
+        batch = self._aligned(clean.clean_bike_usage_strict(good), name)
+        replace_by_date(batch, self.path(name), run.date() - timedelta(days=1))
+        full_refresh(bad, self.path(f"{name}_rejects"))
+        return broken
 
     # Bike history: cleaned once into files of bounded size, then loaded by file name.
 
@@ -102,7 +128,7 @@ class Warehouse:
 
     def load_bike_history(self, staging_path: str, pattern: str = "part-*.parquet") -> None:
         rows = scan_glob(self.spark, staging_path, pattern)
-        append_load(self._aligned(rows, "bike_usage"), self.path("bike_usage"), [DAY])
+        append_load(self._aligned(rows, "bike_usage"), self.path("bike_usage"), [DAY], gather=True)
 
     # Subway: landed as one Parquet folder per day (usage_date=...).
 
@@ -114,7 +140,7 @@ class Warehouse:
         batch = self._aligned(clean.clean_subway_usage(raw, run), "subway_usage")
         target = self.path("subway_usage")
         if append:
-            append_load(batch, target, [DAY])
+            append_load(batch, target, [DAY], gather=True)
             return
         absent = {row[DAY] for row in absent_days(raw, DAY, start, end).collect()}
         landed = [day for day in _days(start, end) if day not in absent]

@@ -17,6 +17,7 @@ from tramline.sinks.files import (
 from tramline.sinks.tables import (
     append_load,
     full_refresh,
+    restore,
     incremental_append,
     ingest_days_if_complete,
     late_rows,
@@ -27,7 +28,7 @@ from tramline.sinks.tables import (
 )
 
 __all__ = [
-    "SchemaDrift", "accepted", "align_by_name", "append_load", "full_refresh",
+    "SchemaDrift", "accepted", "align_by_name", "append_load", "full_refresh", "restore",
     "incremental_append", "ingest_days_if_complete", "late_rows", "load_continue",
     "materialize", "read_if_present", "rejected", "replace_by_date", "replace_days",
     "schema_guard", "write_date_folders", "write_json", "write_parquet", "write_parquet_chunked",

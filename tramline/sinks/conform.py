@@ -3,7 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 _REJECTED = "_rejected_columns"
 
@@ -26,19 +36,28 @@ def _sources(rows: DataFrame, target: StructType) -> list[tuple[StructField, Col
     return pairs
 
 
+def _fitted(source: Column, have: DataType, want: DataType) -> Column:
+    """The value in the wanted type; null if it does not fit or would change on the way."""
+    value = source.try_cast(want)
+    exact = isinstance(want, (IntegralType, DecimalType, DateType))
+    if exact and isinstance(have, (NumericType, TimestampType, TimestampNTZType)):
+        value = F.when(value.try_cast(have) == source, value)
+    return value
+
+
 def align_by_name(rows: DataFrame, target: StructType) -> DataFrame:
     """The target's columns, found by name in any case: a missing one is null, an extra one is
-    ignored, a value that does not fit its type stops the job."""
+    ignored, a value that does not fit its type, or would change in it, stops the job."""
     columns = []
     for field, source in _sources(rows, target):
         kind = field.dataType
         if source is None:
             value = F.lit(None).cast(kind)
-        elif rows.select(source).schema[0].dataType == kind:
+        elif (have := rows.select(source).schema[0].dataType) == kind:
             value = source
         else:
             bad = F.raise_error(F.concat(F.lit(f"{field.name}: bad value "), source.cast("string")))
-            value = F.when(source.isNotNull(), F.coalesce(source.try_cast(kind), bad))
+            value = F.when(source.isNotNull(), F.coalesce(_fitted(source, have, kind), bad))
         columns.append(value.alias(field.name))
     return rows.select(*columns)
 
@@ -53,7 +72,7 @@ def load_continue(rows: DataFrame, target: StructType) -> DataFrame:
         if source is None:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        value = source.try_cast(field.dataType)
+        value = _fitted(source, rows.select(source).schema[0].dataType, field.dataType)
         columns.append(value.alias(field.name))
         faults.append(F.when(source.isNotNull() & value.isNull(), F.lit(field.name)))
     raw = F.to_json(F.struct(*rows.columns)).alias("_raw")

@@ -76,28 +76,53 @@ def full_refresh(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """Make ``rows`` the whole table.
 
     The new table is written next to the old one and takes its place by rename once it is
-    complete. A failed run leaves the old table, and ``rows`` may be computed from it.
+    complete. A failed run leaves the old table, and ``rows`` may be computed from it. If a
+    driver died between the two renames, :func:`restore` brings the old table back first.
     """
     folder, _, name = path.rstrip("/").rpartition("/")
     mark = f"{folder}/_{name}-{uuid.uuid4().hex}"
-    rows.write.partitionBy(*partition_by).parquet(f"{mark}-new")
     place, fs = _place(rows.sparkSession, path)
+    restore(rows.sparkSession, path)
+    rows.write.partitionBy(*partition_by).parquet(f"{mark}-new")
     fresh, _ = _place(rows.sparkSession, f"{mark}-new")
     former, _ = _place(rows.sparkSession, f"{mark}-old")
     replacing = fs.exists(place)
     if replacing and not fs.rename(place, former):
         raise OSError(f"cannot set {path} aside")
     if not fs.rename(fresh, place):
+        if replacing:
+            fs.rename(former, place)
         raise OSError(f"cannot move the new table to {path}")
     if replacing:
         fs.delete(former, True)
 
 
-def append_load(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add all rows, without any check for repeats; the schema must be the table's."""
+def restore(spark: SparkSession, path: str) -> bool:
+    """Bring back the table a broken-off full refresh had set aside; whether there was one."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    place, fs = _place(spark, path)
+    if fs.exists(place):
+        return False
+    pattern, _ = _place(spark, f"{folder}/_{name}-*-old")
+    aside = [found.getPath() for found in fs.globStatus(pattern) or []]
+    if len(aside) > 1:
+        raise OSError(f"several old tables of {path}: {[str(x) for x in aside]}")
+    return bool(aside) and bool(fs.rename(aside[0], place))
+
+
+def append_load(
+    rows: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = False
+) -> None:
+    """Add all rows, without any check for repeats; the schema must be the table's.
+
+    ``gather`` brings the rows of a folder together first, for loads of many folders at once;
+    a large folder is still written by several tasks.
+    """
     target = read_if_present(rows.sparkSession, path)
     if target is not None:
         rows = schema_guard(rows, target.schema)
+    if gather and partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
@@ -111,7 +136,7 @@ def incremental_append(
     """
     target = read_if_present(rows.sparkSession, path)
     mark = None if target is None else high_water_mark(target, stamp)
-    append_load(filter_hwm(rows, stamp, mark), path, partition_by)
+    append_load(filter_hwm(rows, stamp, mark), path, partition_by, gather=mark is None)
     return mark
 
 

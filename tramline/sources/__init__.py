@@ -5,6 +5,7 @@ from tramline.sources.catalog import RAW_SOURCES, register_sources
 from tramline.sources.files import (
     full_scan,
     scan_glob,
+    broken_files,
     scan_hourly_json,
     scan_json_rows,
     scan_parquet_day,
@@ -32,7 +33,7 @@ __all__ = [
     "IncompleteLanding", "MissingDays", "RAW_SOURCES", "absent_days", "array_position_seq",
     "backfill_range", "date_hour_spine", "envelope_totals", "full_scan", "landing_audit",
     "page_plan", "previous_month", "previous_month_bounds", "register_sources",
-    "require_complete", "scan_glob", "scan_hourly_json", "scan_json_rows", "scan_parquet_day",
+    "require_complete", "broken_files", "scan_glob", "scan_hourly_json", "scan_json_rows", "scan_parquet_day",
     "scan_xml_rows", "unwrap_json_envelope", "unwrap_json_list", "unwrap_xml",
     "xml_totals",
 ]

@@ -1,11 +1,13 @@
-"""Scans of landed files. Schemas are always given, so no scan reads its data twice."""
+"""Scans of landed files. JSON and XML schemas are given, so no scan reads its data twice;
+Parquet scans take the schema the files carry."""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
 
 def scan_json_rows(
     spark: SparkSession, path: str, schema: StructType, array_files: bool = False
@@ -40,6 +42,24 @@ def scan_hourly_json(spark: SparkSession, path: str, schema: StructType) -> Data
     )
 
 
+def broken_files(spark: SparkSession, path: str, schema: StructType) -> list[str]:
+    """The files :func:`scan_hourly_json` leaves out, by path; there are as many as hours at most."""
+    marked = StructType([*schema.fields, StructField("_broken", StringType())])
+    rows = (
+        spark.read.schema(marked)
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_broken")
+        .option("ignoreMissingFiles", True)
+        .json(path)
+    )
+    # Spark parses a file only if a column beside the broken text is asked for.
+    found = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.bool_or(F.col("_broken").isNotNull()).alias("broken"), F.count(f"`{schema.names[0]}`").alias("read")
+    )
+    return sorted(row["file"] for row in found.where("broken").collect())
+
+
 def scan_xml_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One row per ``<row>`` element; an absent child is null."""
     return (
