@@ -13,6 +13,7 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as driver
+from tramline.workload import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TRAMLINE_TEST_DIR", "/root/testdata/sf0.001")
 KINDS = {
@@ -31,14 +32,14 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, duck, key):
-    rows = driver.queries()[key](spark, FOLDER)
+    rows = QUERIES[key](spark, FOLDER)
     columns = sorted(rows.columns)
     ordered = rows.select(*[f"`{name}`" for name in columns])
     got = sorted((tuple(row) for row in ordered.collect()), key=repr)
 
-    answer = duck.execute(driver.oracle_sql()[key])
+    answer = duck.execute(ORACLES[key])
     kinds = {column[0]: str(column[1]) for column in answer.description}
     names = [column[0] for column in answer.description]
     assert sorted(names) == columns
@@ -53,7 +54,8 @@ def test_query(spark, duck, key):
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLES.keys() <= driver.oracle_sql().keys()
 
 
 def test_every_key_of_the_inventory_is_there():
