@@ -71,3 +71,10 @@ def test_entry(spark):
     rows = driver.entry(spark)
     assert rows.count() > 0
     assert isinstance(rows.select("date_id").first()[0], dt.date)
+
+
+def test_a_star_join_reads_its_usage_once(spark):
+    """The dimensions are written tables; only their own files are read beside the events."""
+    plan = plan_of(QUERIES["star_join"](spark, FOLDER))
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.count("events.parquet") == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tramline import plans, schemas, sinks, sources
+from tramline import plans, schemas, sources
 from tramline.constants import BIKE_STATION_SERVICE, BUS_STOP_SERVICE
 from tramline.workload import standins as mock
 from tramline.workload.registry import Tables, query
@@ -163,11 +163,6 @@ def dim_station(t: Tables) -> DataFrame:
 # --- facts ----------------------------------------------------------------------------------
 
 
-def _kept(t: Tables, name: str, rows: DataFrame) -> DataFrame:
-    """Dimensions are tables: written once, then read by the fact builds."""
-    return sinks.materialize(rows, "table", name, t.scratch(name))
-
-
 @query(
     "fact_bike_usage",
     f"""{mock.STAR_CTES}
@@ -183,9 +178,9 @@ def fact_bike_usage(t: Tables) -> DataFrame:
     src = _staged(t)
     return plans.fact_bike_usage(
         src["bike"],
-        _kept(t, "dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        _kept(t, "dim_station", plans.dim_station(**src)),
-        _kept(t, "dim_user", plans.dim_user(src["bike"])),
+        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
+        t.kept("dim_station", plans.dim_station(**src)),
+        t.kept("dim_user", plans.dim_user(src["bike"])),
     )
 
 
@@ -200,8 +195,8 @@ def fact_bus_usage(t: Tables) -> DataFrame:
     src = _staged(t)
     return plans.fact_bus_usage(
         src["bus"],
-        _kept(t, "dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        _kept(t, "dim_station", plans.dim_station(**src)),
+        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
+        t.kept("dim_station", plans.dim_station(**src)),
     )
 
 
@@ -217,6 +212,6 @@ def fact_subway_usage(t: Tables) -> DataFrame:
     src = _staged(t)
     return plans.fact_subway_usage(
         src["subway"],
-        _kept(t, "dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        _kept(t, "dim_station", plans.dim_station(**src)),
+        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
+        t.kept("dim_station", plans.dim_station(**src)),
     )

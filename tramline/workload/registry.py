@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
+from tramline import sinks
 from tramline.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,10 @@ class Tables:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
+    def kept(self, name: str, rows: DataFrame) -> DataFrame:
+        """A dimension is a table: written once, then measured and joined from its files."""
+        return sinks.materialize(rows, "table", name, self.scratch(name))
+
 
 def query(key: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``key``, with its SQL twin if there is one."""

@@ -174,7 +174,7 @@ def join_dim_date(t: Tables) -> DataFrame:
     text = F.date_format("l_shipdate", "yyyy-MM-dd")
     usage = t["lineitem"].select(text.cast("date").alias("date_id"), "l_orderkey", "l_linenumber")
     dates = t["orders"].select(mock.day("o_orderdate").alias("date_id")).distinct()
-    return plans.join_dim_date(usage, dates)
+    return plans.join_dim_date(usage, t.kept("dim_date", dates))
 
 
 @query(
@@ -219,7 +219,7 @@ def join_dim_user(t: Tables) -> DataFrame:
         F.expr("CASE user_id % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END").alias("gender"),
         F.expr("CAST(user_id % 7 * 10 AS STRING)").alias("age_group"),
     )
-    return plans.join_dim_user(usage, plans.dim_user(usage))
+    return plans.join_dim_user(usage, t.kept("dim_user", plans.dim_user(usage)))
 
 
 # --- grouping, unions, order ----------------------------------------------------------------
@@ -310,6 +310,10 @@ def star_join(t: Tables) -> DataFrame:
     dates = bike.select(F.col("usage_date").alias("date_id")).distinct()
     stations = dims.bike_stations(bike, plans.src_bike_location(mock.bike_location(t)))
     key = fx.surrogate_key(F.col("source_station_id"), F.col("station_name"))
-    users = plans.dim_user(bike)
-    joined = plans.star_join(bike, dates, stations.withColumn("station_id", key), users)
+    joined = plans.star_join(
+        bike,
+        t.kept("dim_date", dates),
+        t.kept("dim_station", stations.withColumn("station_id", key)),
+        t.kept("dim_user", plans.dim_user(bike)),
+    )
     return joined.select("date_id", "station_id", "user_id", "usage_time", "usage_count", "distance")
