@@ -13,6 +13,8 @@ prefixes of words:
   suffixes and then to all ``depth`` words of each, with partial minima before the shuffles, so
   that a passage found in a third of all documents is no single group.
 
+Documents whose whole text an earlier one has are settled before that: all their windows recur.
+
 A task builds the trees of its groups by naming: each word gets a number, each pair of
 neighbouring numbers a number of its own, and so on for 4, 8, 16 and ``depth`` words. Suffixes
 with one number are the leaves below one node of that depth; all but the first in the order of
@@ -38,6 +40,8 @@ PREFIX = 8
 #: Occurrences of a prefix in one group; more make the prefix longer.
 CROWDED = 10_000
 SLICE_CHARS = 4 << 20
+#: The run of all windows of a document.
+_ALL = 0xFFFFFFFF
 _REMEMBERED = 150_000
 
 
@@ -256,7 +260,8 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
         .groupBy("doc", "mark")
         .agg(F.collect_list(F.struct("gram", "run", "crowded")).alias("runs"))
     )
-    shared = written(shared, "shared")
+    copies = written(_copies(docs), "copies")
+    shared = written(shared.join(copies, ["doc", "mark"], "left_anti"), "shared")
     stretches = written(
         docs.join(shared.hint("merge"), ["doc", "mark"])
         .select("doc", "mark", "text", "runs")
@@ -270,7 +275,19 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
         .mapInArrow(_trees(depth), "doc long, mark int, run long")
         .select("doc", "mark", F.array("run").alias("runs"))
     )
-    return repeats.union(_crowded_repeats(stretches.filter("crowded"), depth))
+    everywhere = copies.select("doc", "mark", F.array(F.lit(_ALL)).alias("runs"))
+    return repeats.union(_crowded_repeats(stretches.filter("crowded"), depth)).union(everywhere)
+
+
+def _copies(docs: DataFrame) -> DataFrame:
+    """(doc, mark) of the documents whose whole text an earlier one has.
+
+    All their windows start earlier there, so no suffix of theirs has to be compared.
+    """
+    texts = docs.select("doc", "mark", F.md5("text").alias("text"))
+    firsts = texts.groupBy("text").agg(F.min(F.struct("doc", "mark")).alias("first"), F.count("*").alias("n"))
+    again = texts.join(firsts.filter("n > 1").drop("n"), "text")
+    return again.filter("struct(doc, mark) <> first").select("doc", "mark").distinct()
 
 
 def _crowded_repeats(stretches: DataFrame, depth: int) -> DataFrame:
@@ -340,9 +357,9 @@ def without_repeats(
                 rows.append((len(words), 0, b" ".join(words).decode("utf-8", "replace")))
                 continue
             edges = np.zeros(len(words) + 1, np.int64)
-            found = np.asarray(found, np.int64)
+            found = np.asarray(found if len(words) >= depth else [], np.int64)
             np.add.at(edges, found >> 32, 1)
-            np.add.at(edges, (found >> 32) + (found & 0xFFFFFFFF) + depth - 1, -1)
+            np.add.at(edges, np.minimum((found >> 32) + (found & _ALL) + depth - 1, len(words)), -1)
             keep = np.cumsum(edges[:-1]) == 0
             kept = [word for word, stays in zip(words, keep.tolist()) if stays]
             rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "replace")))
