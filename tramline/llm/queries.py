@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,10 +26,21 @@ ORACLES: dict[str, str] = {}
 VOCABULARY = corpus_pipeline.VOCABULARY
 
 
+_ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+
+
+def _importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import the package from where the driver did, if they share that folder."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, _ROOT)))
+    return spark
+
+
 def query(key: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(configure(spark), folder)
+            return fn(configure(_importable(spark)), folder)
 
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run
