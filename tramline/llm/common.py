@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tramline.session import scratch_path
 
+#: Bytes of a batch that goes to a Python worker; one longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -30,6 +33,21 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def in_small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, in a session that hands its texts to Python workers ``BATCH_BYTES`` at a time.
+
+    The default counts rows, so a batch of whole texts has no bound on either side. The setting
+    stays, for the plan that uses it runs later.
+    """
+    rows.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
+    return rows
+
+
+def give_back() -> None:
+    """Give a worker's unused Arrow memory back; the process lives on after its task."""
+    pa.default_memory_pool().release_unused()
+
+
 def parallelism(spark: SparkSession) -> int:
     """How many partitions an exchange with a stated number gets: what the session gives others."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tramline.llm.common import whole, words_of
+from tramline.llm.common import give_back, in_small_batches, whole, words_of
 
 #: Words of a passage.
 PASSAGE = 64
@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(SAMPLE_DOCUMENTS)
     )
-    texts = docs.select("doc_id", "text").filter(F.length(whole(F.col("text"))) <= SAMPLE_CHARS)
+    texts = in_small_batches(docs).select("doc_id", "text").filter(F.length(whole(F.col("text"))) <= SAMPLE_CHARS)
     rows = sorted(
         ((r.doc_id, r.label, r.text or "") for r in texts.join(F.broadcast(chosen), "doc_id").toLocalIterator()),
     )
@@ -185,6 +185,8 @@ def quality_score(model: AttentionModel, text: Column) -> Column:
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([model.score(x) for x in part], dtype="float64")
+        _FEATURES.clear()
+        give_back()
 
     return score(whole(text))
 

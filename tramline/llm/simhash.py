@@ -17,7 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tramline.llm.common import written
+from tramline.llm.common import in_small_batches, written
 from tramline.llm.components import components
 
 SHINGLE = 3
@@ -65,7 +65,7 @@ def fingerprints(
         return pd.Series([fingerprint(text, shingle) for text in texts], dtype="int64")
 
     own = F.struct(*(F.col(f"`{name}`") for name in keep)) if keep else F.lit(True)
-    return docs.select(
+    return in_small_batches(docs).select(
         F.col(id_column).alias("doc_id"), of(F.col(text_column).cast("string")).alias("fp"), own.alias("own")
     )
 

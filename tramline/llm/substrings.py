@@ -33,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tramline.llm.common import parallelism, pieces, whole, words_of, written
+from tramline.llm.common import give_back, in_small_batches, parallelism, pieces, whole, words_of, written
 
 DEPTH = 20
 PREFIX = 8
@@ -113,6 +113,8 @@ def _find_anchors(depth: int, prefix: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram), doc, mark, pa.array(place * 256 + many)], ["gram", "doc", "mark", "run"]
             )
+        _HASHES.clear()
+        give_back()
 
     return run
 
@@ -240,6 +242,7 @@ def _trees(depth: int):
             held = rows.slice(whole_groups).combine_chunks()
         if held is not None and held.num_rows:
             yield _repeats(held, depth)
+        give_back()
 
     return run
 
@@ -335,7 +338,7 @@ def without_repeats(
     counts as the smallest. An empty table gives no rows. A column ``cut`` is replaced.
     """
     own = {name: F.col(f"`{name}`") for name in docs.columns if name != "cut"}
-    known = docs.select(
+    known = in_small_batches(docs).select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("doc"),
         F.hash(whole(F.col(text_column))).alias("mark"),
         F.struct(*own.values()).alias("own"),

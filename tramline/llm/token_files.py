@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tramline.llm.common import parallelism, pieces, whole
+from tramline.llm.common import in_small_batches, parallelism, pieces, whole
 from tramline.llm.tokens import encoded
 from tramline.session import scratch_path
 
@@ -154,7 +154,7 @@ def tokenize(
                 [part.column("doc"), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc", "ids"]
             )
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))
     return rows.mapInArrow(run, "doc long, ids binary")
 
 
