@@ -12,9 +12,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import ahocorasick
 import numpy as np
@@ -26,9 +28,12 @@ from tramline.llm.common import in_small_batches, whole
 #: Labelled documents the lexicon is learned from, at most, of each label; the characters each may have.
 SAMPLE_DOCUMENTS = 3_000
 SAMPLE_CHARS = 50_000
-#: An entry must stand in this many labelled documents no other entry explains.
+#: An entry must stand in this many labelled documents, and almost only in toxic ones.
 LEAST_DOCUMENTS = 3
 LEAST_PRECISION = 0.99
+#: How many entries chance alone may be expected to bring.
+CHANCE = 0.01
+_SPREADS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
 # Letters that look like Latin ones, in the order of the Latin letters.
 _HOMOGLYPHS = {
@@ -121,46 +126,60 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _terms(folded: str) -> set[str]:
-    """The words of a text and their beginnings of four to six letters."""
-    words = set(_WORD.findall(folded))
-    return words | {word[:n] + "*" for word in words for n in (4, 5, 6) if len(word) > n}
+def _distinct(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """One text of each group of near copies of one label: those that share two of four least hashes
+    of their runs of three words. Else the chance words of one text look as if many had them."""
+    seen: set[tuple] = set()
+    kept = []
+    for text, label in rows:
+        words = text.split()
+        runs = {zlib.crc32(" ".join(words[i : i + 3]).encode("utf-8", "replace")) for i in range(max(1, len(words) - 2))}
+        hashes = np.fromiter(runs, np.uint64, len(runs))
+        least = [int(((hashes * np.uint64(m)) >> np.uint64(16) & np.uint64(0xFFFFFFFF)).min()) for m in _SPREADS]
+        marks = {(label, i, least[i], j, least[j]) for i, j in combinations(range(len(least)), 2)}
+        if not marks & seen:
+            kept.append((text, label))
+        seen |= marks
+    return kept
+
+
+def _chance(toxic: int, clean: int, share: float) -> float:
+    """The logarithm of a bound on how often chance puts this many of a term's texts among the toxic."""
+    q = toxic / (toxic + clean)
+    far = toxic * math.log(q / share) + (clean * math.log((1 - q) / (1 - share)) if clean else 0.0)
+    return -far if q > share else 0.0
 
 
 def learn(texts: Iterable[str], labels: Iterable[int], given: dict[str, float] | None = None, exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """A lexicon from labelled texts; equal texts count once.
+    """A lexicon from labelled texts; equal texts count once, toxic if any copy is, near copies once.
 
-    Entries are taken greedily: always the one in most toxic texts that no entry explains yet, so
-    chance words of a text that an entry explains already never enter.
+    An entry is a word that stands almost only in toxic texts, and in so many that chance would not
+    put a single one of all words tried there; then a beginning that does so by other words.
     """
-    rows = sorted({fold(text): int(label) for text, label in zip(texts, labels)}.items())
-    toxic = [_terms(text) for text, label in rows if label]
-    clean = Counter(term for text, label in rows if not label for term in _terms(text))
-    n_toxic, n_clean = len(toxic), len(rows) - len(toxic)
-    where: dict[str, set[int]] = {}
-    for n, terms in enumerate(toxic):
-        for term in terms:
-            where.setdefault(term, set()).add(n)
+    label_of: dict[str, int] = {}
+    for text, label in zip(texts, labels):
+        text = fold(text)
+        label_of[text] = max(int(label), label_of.get(text, 0))
+    rows = _distinct(sorted(label_of.items()))
+    words = [(set(_WORD.findall(text)), label) for text, label in rows]
+    n_toxic = sum(label for _, label in rows)
+    n_clean, share = len(rows) - n_toxic, n_toxic / max(len(rows), 1)
     weights = dict(given or {})
-    good = {}
-    for term, found in where.items():
-        rate = len(found) / max(n_toxic, 1)
-        precise = rate / (rate + clean[term] / max(n_clean, 1))
-        if len(found) >= LEAST_DOCUMENTS and precise >= LEAST_PRECISION:
-            good[term] = found
-    left = set(range(n_toxic))
-    # Of terms in equally many texts, a word before a beginning, and the longest first.
-    ranked = sorted(good, key=lambda t: (-len(good[t]), t.endswith("*"), -len(t), t))
-    while ranked:
-        counts = [(len(good[t] & left), -n) for n, t in enumerate(ranked)]
-        most, at = max(counts)
-        if most < LEAST_DOCUMENTS:
-            break
-        term = ranked[-at]
-        rate, other = (len(good[term]) + 0.5) / (n_toxic + 1), (clean[term] + 0.5) / (n_clean + 1)
-        weights[term] = max(math.log(rate / other), 0.1)
-        left -= good[term]
-        ranked = [t for t, (many, _) in zip(ranked, counts) if many >= LEAST_DOCUMENTS and t != term]
+
+    def admit(terms: list[tuple[set[str], int]]) -> None:
+        toxic, clean = (Counter(term for own, label in terms if label == which for term in own) for which in (1, 0))
+        rare = math.log(CHANCE / max(len(toxic), 1))
+        for term, found in sorted(toxic.items()):
+            rate, other = found / n_toxic, clean[term] / max(n_clean, 1)
+            if found >= LEAST_DOCUMENTS and rate >= LEAST_PRECISION * (rate + other) and _chance(found, clean[term], share) <= rare:
+                weight = math.log((found + 0.5) / (n_toxic + 1) / ((clean[term] + 0.5) / (n_clean + 1)))
+                weights.setdefault(term, max(weight, 0.1))
+
+    if n_toxic and n_clean:
+        admit(words)
+        for n in (6, 5, 4):  # the longest beginning first
+            known = tuple(entry.rstrip("*") for entry in weights if entry.endswith("*"))
+            admit([({w[:n] + "*" for w in own if len(w) > n and w not in weights and not w.startswith(known)}, label) for own, label in words])
     found = Lexicon(weights, exceptions)
     found = Lexicon(weights, exceptions + _learned_exceptions(found, rows))
     return _calibrated(found, rows)
