@@ -134,27 +134,27 @@ class Warehouse:
 
     def load_subway_range(
         self, landing: str, start: date, end: date, run: datetime, append: bool = False
-    ) -> None:
-        """Load the landed days of a range; a day that was not landed is left as it is."""
+    ) -> list[date]:
+        """Load the landed days of a range; a day that was not landed is left as it is, and returned."""
         raw = backfill_range(self.spark.read.parquet(landing), DAY, start, end)
         batch = self._aligned(clean.clean_subway_usage(raw, run), "subway_usage")
         target = self.path("subway_usage")
+        absent = sorted(row[DAY] for row in absent_days(raw, DAY, start, end).collect())
+        landed = [day for day in _days(start, end) if day not in absent]
         if append:
             append_load(batch, target, [DAY], gather=True)
-            return
-        absent = {row[DAY] for row in absent_days(raw, DAY, start, end).collect()}
-        landed = [day for day in _days(start, end) if day not in absent]
-        if landed:
+        elif landed:
             replace_days(batch, target, landed)
+        return absent
 
-    def load_subway_month(self, landing: str, run: datetime, strict: bool = False) -> None:
-        """Load the calendar month before the run; ``strict`` raises if a day was not landed."""
+    def load_subway_month(self, landing: str, run: datetime, strict: bool = False) -> list[date]:
+        """Load the calendar month before the run and return the days that were not landed; ``strict`` raises then."""
         start, end = previous_month_bounds(run.date())
         if strict:
             absent = absent_days(self.spark.read.parquet(landing), DAY, start, end).collect()
             if absent:
                 raise MissingDays(f"no rows for {sorted(row[DAY] for row in absent)}")
-        self.load_subway_range(landing, start, end, run)
+        return self.load_subway_range(landing, start, end, run)
 
     # Places: replaced as a whole, unless nothing was landed.
 
