@@ -359,6 +359,33 @@ def test_few_vectors(spark):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def recall_of(found, ids, unit, queries, k=5):
+    """The share of the true neighbours that ``found`` (query_id, rank, vec_id, score) has."""
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    right = 0
+    for query in queries:
+        score = unit @ unit[query]
+        score[query] = -2
+        right += len(got[ids[query]] & set(ids[np.argsort(-score)[:k]].tolist()))
+    return right / (k * len(queries))
+
+
+def structureless(seed, n, width=64):
+    rows = np.random.default_rng(seed).normal(size=(n, width)).astype(np.float32)
+    unit = rows.astype(np.float64)
+    return rows, unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def test_window_follows_the_vectors(spark):
+    """Six orders with windows of 256 meet at most a quarter of these vectors."""
+    rows, unit = structureless(4, 12_000)
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(rows.tolist())], "vec_id long, embedding array<float>").repartition(4)
+    found = neighbours.nearest(frame, F.col("vec_id") % 100 == 0, 5, rotations=1).collect()
+    assert recall_of(found, np.arange(len(rows)), unit, range(0, len(rows), 100)) >= 0.9
+
+
 # --- classifiers
 
 

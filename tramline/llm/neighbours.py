@@ -1,13 +1,13 @@
 """Approximate nearest neighbours on shifted Hilbert curves.
 
 Unit vectors are projected to subspaces of a few dimensions, shifted, and put in the order of a
-Hilbert curve in each. Near vectors are often near in some order, so a query looks at the
-``WINDOW`` vectors on either side of it in every order, ranks them by a one-byte code of each
+Hilbert curve in each. Near vectors are often near in some order, so a query looks at a window
+of vectors on either side of it in every order, ranks them by a one-byte code of each
 coordinate, and the best of all orders are ranked again on the vectors themselves.
 
-Recall depends on the vectors. On vectors without structure (64 independent coordinates, the
-hardest case) 48 orders and windows of 256 find 95 of 100 true neighbours among 50,000 vectors;
-clustered vectors need fewer orders. Both are parameters.
+How far apart true neighbours stand depends on the vectors and on their number. So the window is
+measured: the true neighbours of ``SAMPLE`` queries are found by comparing them with all vectors,
+and the window is as wide as it takes to meet ``TARGET`` of them in some order.
 """
 
 from __future__ import annotations
@@ -25,7 +25,13 @@ from tramline.llm.common import parallelism, written
 ROTATIONS = 8
 DIMENSIONS = 10
 BITS = 4
+#: The least window; a measured one is wider where the vectors need it.
 WINDOW = 256
+#: Queries whose true neighbours set the window, and the share of these it must reach.
+SAMPLE = 200
+TARGET = 0.96
+#: Scores a task holds at a time.
+SCORES = 4 << 20
 #: Candidates a query keeps of a window block, beyond the neighbours asked for.
 SPARE = 3
 
@@ -97,6 +103,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return rows
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)  # no overflow in the squares
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def _usable(vector: Column) -> Column:
     """Neither null nor zero, nor with a null or non-finite component."""
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -133,6 +144,58 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at += n
 
 
+def _closest(refs: np.ndarray, queries: np.ndarray, k: int):
+    """The ``k`` best of all vectors of a task for each of a few queries (unit vectors)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, other = np.empty((len(refs), 0)), np.empty((len(refs), 0), np.int64)
+        for batch in batches:
+            ref = batch.column("ref").to_numpy()
+            now = queries @ _unit(_matrix(batch.column("vector"), queries.shape[1])).T
+            now[refs[:, None] == ref[None, :]] = -2
+            score, other = np.hstack([score, now]), np.hstack([other, np.broadcast_to(ref, now.shape)])
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            score, other = np.take_along_axis(score, top, axis=1), np.take_along_axis(other, top, axis=1)
+        found = score > -2
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.broadcast_to(refs[:, None], other.shape)[found]), pa.array(other[found]), pa.array(score[found])],
+            ["ref", "other", "score"],
+        )
+
+    return run
+
+
+def _measured_window(classes: DataFrame, ranked: DataFrame, width: int, k: int) -> int:
+    """The window that meets ``TARGET`` of the true neighbours of a sample of queries.
+
+    What comes to the driver is bounded by the sample, its neighbours and the number of orders.
+    """
+    sample = classes.filter("asked").orderBy(F.xxhash64("ref"), "ref").select("ref", "vector").limit(SAMPLE).collect()
+    if not sample:
+        return WINDOW
+    rows = np.zeros((len(sample), width))
+    for row, x in zip(rows, sample):
+        row[: len(x.vector)] = x.vector
+    refs = np.array([x.ref for x in sample], np.int64)
+    best = Window.partitionBy("ref").orderBy(F.desc("score"), "other")
+    truth = (
+        classes.select("ref", "vector")
+        .mapInArrow(_closest(refs, _unit(rows), k), "ref long, other long, score double")
+        .withColumn("nth", F.row_number().over(best))
+        .filter(F.col("nth") <= k)
+        .select("ref", "other")
+        .collect()
+    )
+    if not truth:
+        return WINDOW
+    wanted = classes.sparkSession.createDataFrame([(x,) for x in sorted({x for pair in truth for x in pair})], "ref long")
+    place = {}
+    for curve, ref, rank in ranked.join(F.broadcast(wanted), "ref").select("curve", "ref", "rank").collect():
+        place.setdefault(ref, {})[curve] = rank
+    gaps = sorted(min(abs(rank - place[other][curve]) for curve, rank in place[ref].items()) for ref, other in truth)
+    return max(WINDOW, gaps[int(np.ceil(TARGET * len(gaps))) - 1])
+
+
 def _best_in_blocks(width: int, window: int, most: int):
     """Each query's best candidates of a block. Rows come sorted by block, a block's vectors first."""
 
@@ -146,12 +209,15 @@ def _best_in_blocks(width: int, window: int, most: int):
             m = a + int(np.count_nonzero(~probe[a:b]))
             if m == a or m == b:
                 continue
-            score = code[m:b] @ code[a:m].T
-            near = (np.abs(rank[m:b, None] - rank[None, a:m]) <= window) & (curve[m:b, None] == curve[None, a:m])
-            score[~near | (ref[m:b, None] == ref[None, a:m])] = -2
-            top = np.argpartition(-score, min(most, score.shape[1]) - 1, axis=1)[:, :most]
-            found = np.take_along_axis(score, top, axis=1) > -2
-            yield np.broadcast_to(ref[m:b, None], top.shape)[found], ref[a:m][top][found]
+            step = max(1, SCORES // (m - a))
+            for c in range(m, b, step):
+                d = min(b, c + step)
+                score = code[c:d] @ code[a:m].T
+                near = (np.abs(rank[c:d, None] - rank[None, a:m]) <= window) & (curve[c:d, None] == curve[None, a:m])
+                score[~near | (ref[c:d, None] == ref[None, a:m])] = -2
+                top = np.argpartition(-score, min(most, score.shape[1]) - 1, axis=1)[:, :most]
+                found = np.take_along_axis(score, top, axis=1) > -2
+                yield np.broadcast_to(ref[c:d, None], top.shape)[found], ref[a:m][top][found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -182,7 +248,7 @@ def nearest(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     rotations: int = ROTATIONS,
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows with the largest cosine found for each query.
 
@@ -190,7 +256,8 @@ def nearest(
     and those with null or non-finite components take no part, nor do rows without an id; a
     shorter vector counts as padded with zeros. Equal vectors are one entry that carries its
     ``k`` + 1 smallest ids, so a vector that a third of all rows share costs one entry. Ties go
-    to the smaller id, and rows that share an id are all candidates for the other ids.
+    to the smaller id, and rows that share an id are all candidates for the other ids. Without a
+    ``window`` it is measured.
     """
     spark = vectors.sparkSession
     n = parallelism(spark)
@@ -228,6 +295,7 @@ def nearest(
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = placed.join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("at"))
+    window = window or _measured_window(classes, ranked, width, k)
     block = lambda rank: F.floor(rank / window)
     columns = ["block", "probe", "curve", "rank", "ref", "code"]
     items = ranked.select(block(F.col("rank")).alias("block"), F.lit(False).alias("probe"), *columns[2:])
