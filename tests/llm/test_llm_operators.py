@@ -386,6 +386,28 @@ def test_window_follows_the_vectors(spark):
     assert recall_of(found, np.arange(len(rows)), unit, range(0, len(rows), 100)) >= 0.9
 
 
+def test_tight_group_larger_than_the_window(spark):
+    rng = np.random.default_rng(6)
+    rows, _ = structureless(5, 5_000)
+    rows[1_000:] = rng.normal(size=64) + rng.normal(size=(4_000, 64)) * 0.014
+    unit = rows.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(rows.tolist())], "vec_id long, embedding array<float>").repartition(4)
+    asked = range(1_000, 5_000, 50)
+    found = neighbours.nearest(frame, (F.col("vec_id") % 50 == 0) & (F.col("vec_id") >= 1_000), 5).collect()
+    assert recall_of(found, np.arange(len(rows)), unit, asked) >= 0.9
+
+
+def test_vectors_on_one_ray_are_one_entry(spark):
+    base = np.random.default_rng(7).integers(-9, 10, 16).astype(float)
+    rows = [(i, [float(x) for x in base * (i + 1)]) for i in range(1_500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 500 == 0, 5).collect()
+    assert sorted((r.query_id, r.vec_id) for r in found) == [
+        (query, vec) for query in (0, 500, 1000) for vec in [x for x in range(6) if x != query][:5]
+    ]
+
+
 # --- classifiers
 
 

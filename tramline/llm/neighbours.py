@@ -2,8 +2,7 @@
 
 Unit vectors are projected to subspaces of a few dimensions, shifted, and put in the order of a
 Hilbert curve in each. Near vectors are often near in some order, so a query looks at a window
-of vectors on either side of it in every order, ranks them by a one-byte code of each
-coordinate, and the best of all orders are ranked again on the vectors themselves.
+of vectors on either side of it in every order and ranks them on the vectors themselves.
 
 How far apart true neighbours stand depends on the vectors and on their number. So the window is
 measured: the true neighbours of ``SAMPLE`` queries are found by comparing them with all vectors,
@@ -19,12 +18,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import FloatType
 
 from tramline.llm.common import parallelism, written
 
 ROTATIONS = 8
 DIMENSIONS = 10
-BITS = 4
+#: Bits of a coordinate on the curve: groups whose vectors differ by 1e-7 are still in order.
+BITS = 24
 #: The least window; a measured one is wider where the vectors need it.
 WINDOW = 256
 #: Queries whose true neighbours set the window, and the share of these it must reach.
@@ -36,8 +37,8 @@ SCORES = 4 << 20
 SPARE = 3
 
 
-def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Places on the Hilbert curve of points with coordinates of ``bits`` bits (bits x dimensions <= 63).
+def _hilbert_axes(cells: np.ndarray, bits: int) -> np.ndarray:
+    """The transposed places on the Hilbert curve of points with coordinates of ``bits`` bits.
 
     The public axes-to-transpose method (Skilling 2004), for all points at once.
     """
@@ -58,7 +59,12 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     while size > 1:
         flip ^= np.where((x[-1] & np.uint32(size)) != 0, np.uint32(size - 1), np.uint32(0))
         size >>= 1
-    x ^= flip
+    return x ^ flip
+
+
+def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Places on the Hilbert curve as numbers (bits x dimensions <= 63)."""
+    x = _hilbert_axes(cells, bits)
     key = np.zeros(x.shape[1], np.int64)
     for bit in range(bits - 1, -1, -1):
         for axis in x:
@@ -66,6 +72,12 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def hilbert_bytes(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Places on the Hilbert curve as rows of bytes in the same order, for any bits x dimensions."""
+    x = _hilbert_axes(cells, bits)
+    return np.packbits(np.concatenate([(x >> np.uint32(bit)) & 1 for bit in range(bits - 1, -1, -1)]).astype(np.uint8).T, axis=1)
+
+
 class Orders:
     """The projections and shifts; the same for every task, whatever the data."""
 
@@ -82,12 +94,10 @@ class Orders:
         self.scale = np.sqrt(width) / 8
 
     def keys(self, unit: np.ndarray) -> list[np.ndarray]:
-        """The place of each vector in each order."""
+        """The place of each vector in each order; shifts are up to a sixteenth of the grid."""
         cells = 1 << self.bits
         return [
-            hilbert_keys(
-                np.clip(np.floor((unit @ space * self.scale + 0.5) * (cells - 1) + shift), 0, cells - 1), self.bits
-            )
+            hilbert_bytes(np.clip(np.floor(((unit @ space * self.scale + 0.5) * 15 + shift) / 16 * cells), 0, cells - 1), self.bits)
             for space, shift in zip(self.spaces, self.shifts)
         ]
 
@@ -108,25 +118,28 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * (rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
 def _usable(vector: Column) -> Column:
     """Neither null nor zero, nor with a null or non-finite component."""
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _entries(orders: Orders, width: int):
+def _entries(orders: Orders, width: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _matrix(batch.column("vector"), width)
-            largest = np.abs(rows).max(axis=1, keepdims=True)  # no overflow in the squares
-            rows = rows / largest
-            unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
-            code = np.round(unit / np.abs(unit).max(axis=1, keepdims=True) * 127).astype(np.int8)
-            code = pa.array([x.tobytes() for x in code], pa.binary())
-            for order, key in enumerate(orders.keys(unit)):
+            vector = _binary(rows.astype(kind))
+            for order, key in enumerate(orders.keys(_unit(rows))):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), order, np.int32)), pa.array(key), batch.column("ref"), batch.column("asked"), code],
-                    ["curve", "key", "ref", "asked", "code"],
+                    [pa.array(np.full(len(key), order, np.int32)), _binary(key), batch.column("ref"), batch.column("asked"), vector],
+                    ["curve", "key", "ref", "asked", "vector"],
                 )
 
     return run
@@ -138,8 +151,8 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in ("curve", "ref", "asked", "code")), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))],
-            ["curve", "ref", "asked", "code", "part", "at"],
+            [*(batch.column(name) for name in ("curve", "ref", "asked", "vector")), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))],
+            ["curve", "ref", "asked", "vector", "part", "at"],
         )
         at += n
 
@@ -196,14 +209,13 @@ def _measured_window(classes: DataFrame, ranked: DataFrame, width: int, k: int)
     return max(WINDOW, gaps[int(np.ceil(TARGET * len(gaps))) - 1])
 
 
-def _best_in_blocks(width: int, window: int, most: int):
+def _best_in_blocks(width: int, window: int, most: int, kind: type):
     """Each query's best candidates of a block. Rows come sorted by block, a block's vectors first."""
 
     def best(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block, probe = rows.column("block").to_numpy(), rows.column("probe").to_numpy(zero_copy_only=False)
         curve, rank, ref = (rows.column(name).to_numpy() for name in ("curve", "rank", "ref"))
-        code = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.int8).reshape(-1, width).astype(np.float32)
-        code /= np.linalg.norm(code, axis=1, keepdims=True)
+        unit = _unit(np.frombuffer(b"".join(rows.column("vector").to_pylist()), kind).reshape(-1, width).astype(np.float64))
         edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
         for a, b in zip(edges[:-1], edges[1:]):
             m = a + int(np.count_nonzero(~probe[a:b]))
@@ -212,7 +224,7 @@ def _best_in_blocks(width: int, window: int, most: int):
             step = max(1, SCORES // (m - a))
             for c in range(m, b, step):
                 d = min(b, c + step)
-                score = code[c:d] @ code[a:m].T
+                score = unit[c:d] @ unit[a:m].T
                 near = (np.abs(rank[c:d, None] - rank[None, a:m]) <= window) & (curve[c:d, None] == curve[None, a:m])
                 score[~near | (ref[c:d, None] == ref[None, a:m])] = -2
                 top = np.argpartition(-score, min(most, score.shape[1]) - 1, axis=1)[:, :most]
@@ -254,42 +266,49 @@ def nearest(
 
     Every usable row is indexed and a candidate for all queries but itself. Null and zero vectors
     and those with null or non-finite components take no part, nor do rows without an id; a
-    shorter vector counts as padded with zeros. Equal vectors are one entry that carries its
+    shorter vector counts as padded with zeros. Vectors on one ray are one entry that carries its
     ``k`` + 1 smallest ids, so a vector that a third of all rows share costs one entry. Ties go
     to the smaller id, and rows that share an id are all candidates for the other ids. Without a
     ``window`` it is measured.
     """
     spark = vectors.sparkSession
     n = parallelism(spark)
+    element = getattr(vectors.select(vector_column).schema[0].dataType, "elementType", None)
+    kind, name = (np.float32, "float") if isinstance(element, FloatType) else (np.float64, "double")
     usable = vectors.select(
-        F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"),
+        F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast(f"array<{name}>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asked"),
     ).filter(F.col("id").isNotNull() & _usable(F.col("vector")))
-    usable = usable.withColumn("class", F.xxhash64("vector"))
-    first = Window.partitionBy("class", "vector").orderBy("id")
+    # Quotients are rounded once, so all vectors on one ray have the same.
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x).cast("double")))
+    usable = usable.withColumn("largest", largest).withColumn("ray", F.transform("vector", lambda x: x.cast("double") / F.col("largest")))
+    usable = usable.withColumn("class", F.xxhash64("ray")).drop("largest")
+    first = Window.partitionBy("class", "ray").orderBy("id")
     classes = (
-        usable.select("class", "vector", "id")
+        usable.select("class", "ray", "vector", "id")
         .withColumn("nth", F.row_number().over(first))
         .filter(F.col("nth") <= k + 1)
-        .groupBy("class", "vector")
-        .agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        .groupBy("class", "ray")
+        .agg(F.sort_array(F.collect_list("id")).alias("ids"), F.min("vector").alias("vector"))
         .withColumn("ref", F.col("ids")[0])
     )
-    # A reference is an id of the class, told apart by the vector's hash where ids repeat.
+    # A reference is an id of the class, told apart by the ray's hash where ids repeat.
     classes = classes.withColumn("ref", F.xxhash64("ref", "class"))
-    asked = usable.filter("asked").select("class", "vector", "id")
-    has_query = asked.groupBy("class", "vector").agg(F.lit(True).alias("asked"))
+    asked = usable.filter("asked").select("class", "ray", "id")
+    has_query = asked.groupBy("class", "ray").agg(F.lit(True).alias("asked"))
     classes = written(
-        classes.join(has_query, ["class", "vector"], "left").withColumn("asked", F.coalesce("asked", F.lit(False))),
+        classes.join(has_query, ["class", "ray"], "left").withColumn("asked", F.coalesce("asked", F.lit(False))),
         "classes",
     )
     width = classes.agg(F.max(F.size("vector"))).first()[0] or 1
     orders = Orders(width, rotations)
-    entries = classes.mapInArrow(_entries(orders, width), "curve int, key long, ref long, asked boolean, code binary")
+    entries = classes.select("ref", "asked", "vector").mapInArrow(
+        _entries(orders, width, kind), "curve int, key binary, ref long, asked boolean, vector binary"
+    )
     placed = written(
         entries.repartitionByRange(n, "curve", "key", "ref")
         .sortWithinPartitions("curve", "key", "ref")
-        .mapInArrow(_numbered, "curve int, ref long, asked boolean, code binary, part int, at long"),
+        .mapInArrow(_numbered, "curve int, ref long, asked boolean, vector binary, part int, at long"),
         "placed",
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -297,7 +316,7 @@ def nearest(
     ranked = placed.join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("at"))
     window = window or _measured_window(classes, ranked, width, k)
     block = lambda rank: F.floor(rank / window)
-    columns = ["block", "probe", "curve", "rank", "ref", "code"]
+    columns = ["block", "probe", "curve", "rank", "ref", "vector"]
     items = ranked.select(block(F.col("rank")).alias("block"), F.lit(False).alias("probe"), *columns[2:])
     probes = ranked.filter("asked").select(
         F.explode(F.sequence(block(F.col("rank") - window), block(F.col("rank") + window))).alias("block"),
@@ -307,7 +326,7 @@ def nearest(
         items.union(probes)
         .repartition(n, "block")
         .sortWithinPartitions("block", "probe")
-        .mapInArrow(_best_in_blocks(width, window, k + SPARE), "ref long, other long")
+        .mapInArrow(_best_in_blocks(width, window, k + SPARE, kind), "ref long, other long")
         .distinct()
         .union(classes.filter("asked").select("ref", F.col("ref").alias("other")))
     )
@@ -320,7 +339,7 @@ def nearest(
             x, y = a / np.abs(a).max(), b / np.abs(b).max()
             return float(np.dot(x[:m], y[:m]) / np.sqrt(np.dot(x, x) * np.dot(y, y)))
 
-        return pd.Series([one(np.asarray(a), np.asarray(b)) for a, b in zip(left, right)], dtype="float64")
+        return pd.Series([one(np.asarray(a, np.float64), np.asarray(b, np.float64)) for a, b in zip(left, right)], dtype="float64")
 
     own = classes.select("ref", F.col("vector").alias("own"))
     others = classes.select(F.col("ref").alias("other"), F.col("vector").alias("others"), "ids")
@@ -329,7 +348,7 @@ def nearest(
     lists = scored.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).groupBy("ref").agg(
         F.array_sort(F.collect_list(F.struct("nth", "id", "score"))).alias("found")
     )
-    queries = asked.join(classes.select("class", "vector", "ref"), ["class", "vector"]).select(F.col("id").alias("query_id"), "ref")
+    queries = asked.join(classes.select("class", "ray", "ref"), ["class", "ray"]).select(F.col("id").alias("query_id"), "ref")
     others_of = F.slice(F.filter("found", lambda x: x["id"] != F.col("query_id")), 1, k)
     return (
         queries.join(lists, "ref")
