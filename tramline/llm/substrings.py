@@ -1,23 +1,22 @@
-"""Repeated passages, by suffix trees over prefix-partitioned groups of word suffixes.
+"""Repeated passages, by naming equal windows of words in groups of a common minimiser.
 
-A suffix is a window start in a document; it is followed to the depth of ``depth`` words, which
-is where a tree's internal nodes become repeats worth removing. Groups of suffixes are made by
-prefixes of words:
+A suffix is a window start in a document; it is followed to the depth of ``depth`` words. No
+suffix tree is built: only equality at that depth decides what is removed. Groups of suffixes are
+made by minimisers, the "prefixes" below:
 
 * Each suffix belongs to the least (by hash) of the ``PREFIX``-word runs in its first ``depth``
   words. Equal suffixes agree in it, and neighbouring suffixes mostly share it, so a run of
   neighbours travels once, as one stretch of words, and not word by word.
-* A prefix that occurs once has no internal node above it: its suffixes are dropped before any
-  text moves.
+* A prefix that occurs once has no repeat: its suffixes are dropped before any text moves.
 * A prefix with more than ``CROWDED`` occurrences is made longer, to the whole run of its
   suffixes and then to all ``depth`` words of each, with partial minima before the shuffles, so
   that a passage found in a third of all documents is no single group.
 
 Documents whose whole text an earlier one has are settled before that: all their windows recur.
 
-A task builds the trees of its groups by naming: each word gets a number, each pair of
+A task finds the repeats of its groups by naming: each word gets a number, each pair of
 neighbouring numbers a number of its own, and so on for 4, 8, 16 and ``depth`` words. Suffixes
-with one number are the leaves below one node of that depth; all but the first in the order of
+with one number are equal to that depth; all but the first in the order of
 (document, place) are repeats. Numbers stand for the words themselves, so nothing rests on
 hashes there; lengthened prefixes are compared by 128-bit hashes.
 """
