@@ -224,6 +224,16 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [(-1, 0), (1, 25), (1, 25), (2, 25)]
 
 
+def test_texts_of_one_id_with_equal_short_hashes(spark):
+    """These two texts have the same 32-bit hash; only the first repeats a passage."""
+    passage, other = (" ".join(f"{x}{n}" for n in range(30)) for x in "po")
+    texts = [passage + " x40325", other + " y206414"]
+    rows = spark.createDataFrame([(1, passage)] + [(2, t) for t in texts], "doc_id long, text string")
+    assert rows.filter("doc_id = 2").select(F.hash("text")).distinct().count() == 1
+    got = {r.text: (r.n_removed, r.kept) for r in substrings.without_repeats(rows).select("text", "cut.*").collect()}
+    assert got == {passage: (0, passage), texts[0]: (30, "x40325"), texts[1]: (0, texts[1])}
+
+
 # --- benchmark, chat, shards
 
 

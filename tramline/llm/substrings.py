@@ -166,12 +166,12 @@ def _suffixes(depth: int):
 
 _STRETCH = pa.schema(
     [
-        ("doc", pa.int64()), ("mark", pa.int32()), ("gram", pa.int64()), ("more", pa.int64()),
+        ("doc", pa.int64()), ("mark", pa.int64()), ("gram", pa.int64()), ("more", pa.int64()),
         ("first", pa.int64()), ("many", pa.int64()), ("crowded", pa.bool_()), ("words", pa.binary()),
     ]
 )
-_STRETCH_DDL = "doc long, mark int, gram long, more long, first long, many long, crowded boolean, words binary"
-_SUFFIX_DDL = "gram long, more long, step int, high long, low long, doc long, mark int, first long, n long"
+_STRETCH_DDL = "doc long, mark long, gram long, more long, first long, many long, crowded boolean, words binary"
+_SUFFIX_DDL = "gram long, more long, step int, high long, low long, doc long, mark long, first long, n long"
 
 
 def _named_pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -253,7 +253,7 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
     """
     n = parallelism(docs.sparkSession)
     found = written(
-        docs.mapInArrow(_find_anchors(depth, prefix), "gram long, doc long, mark int, run long"), "anchors"
+        docs.mapInArrow(_find_anchors(depth, prefix), "gram long, doc long, mark long, run long"), "anchors"
     )
     counts = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
     counts = written(counts.select("gram", (F.col("n") > CROWDED).alias("crowded")), "prefixes")
@@ -274,7 +274,7 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
     repeats = (
         groups.repartition(n, "gram")
         .sortWithinPartitions("gram")
-        .mapInArrow(_trees(depth), "doc long, mark int, run long")
+        .mapInArrow(_trees(depth), "doc long, mark long, run long")
         .select("doc", "mark", F.array("run").alias("runs"))
     )
     everywhere = copies.select("doc", "mark", F.array(F.lit(_ALL)).alias("runs"))
@@ -339,7 +339,7 @@ def without_repeats(
     own = {name: F.col(f"`{name}`") for name in docs.columns if name != "cut"}
     known = in_small_batches(docs).select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("doc"),
-        F.hash(whole(F.col(text_column))).alias("mark"),
+        F.xxhash64(whole(F.col(text_column))).alias("mark"),
         F.struct(*own.values()).alias("own"),
     )
     text = whole(F.col("own").getField(text_column))
