@@ -442,6 +442,19 @@ def labelled(spark):
     )
 
 
+@pytest.mark.parametrize("module, learner", [(quality, "AttentionModel.fit"), (toxicity, "learn")])
+def test_a_repeated_id_sends_one_text(spark, monkeypatch, module, learner):
+    """An id that many rows share costs the driver one text, whatever their texts."""
+    rows = [(1, f"good words {n}") for n in range(500)] + [(2, "bad words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    sent = []
+    owner = module.AttentionModel if "." in learner else module
+    monkeypatch.setattr(owner, learner.split(".")[-1], lambda *a: sent.append(a[-1]))
+    module.train(docs, labels, F.lit(True))
+    assert len(sent[0]) == 2
+
+
 def test_quality(spark):
     docs, labels = labelled(spark)
     rows = {r.doc_id: r for r in quality.score_documents(docs, labels).collect()}

@@ -63,6 +63,16 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def one_text_each(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, text) of the few ``chosen`` (doc_id, label), one text an id however many rows share it.
+
+    The text with the least hash, so partial minima bound what each task sends.
+    """
+    text = whole(F.col("text"))
+    joined = texts.select("doc_id", text.alias("text")).join(F.broadcast(chosen.distinct()), "doc_id")
+    return joined.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("least")).select("doc_id", "label", F.col("least.text").alias("text"))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words between spaces and the control characters 9 to 13, as UTF-8, unchanged."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

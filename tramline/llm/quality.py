@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tramline.llm.common import give_back, in_small_batches, whole, words_of
+from tramline.llm.common import give_back, in_small_batches, one_text_each, whole, words_of
 
 #: Words of a passage.
 PASSAGE = 64
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     )
     texts = in_small_batches(docs).select("doc_id", "text").filter(F.length(whole(F.col("text"))) <= SAMPLE_CHARS)
     rows = sorted(
-        ((r.doc_id, r.label, r.text or "") for r in texts.join(F.broadcast(chosen), "doc_id").toLocalIterator()),
+        ((r.doc_id, r.label, r.text) for r in one_text_each(texts, chosen).toLocalIterator()),
     )
     model = AttentionModel.fresh()
     if not rows:

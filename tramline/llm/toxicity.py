@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tramline.llm.common import in_small_batches, whole
+from tramline.llm.common import in_small_batches, one_text_each, whole
 
 #: Labelled documents the lexicon is learned from, at most, of each label; the characters each may have.
 SAMPLE_DOCUMENTS = 3_000
@@ -238,8 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
         rows.filter("label = 0").orderBy(*order).limit(SAMPLE_DOCUMENTS)
     )
     texts = in_small_batches(docs).select("doc_id", "text").filter(F.length(whole(F.col("text"))) <= SAMPLE_CHARS)
-    sample = texts.join(F.broadcast(chosen), "doc_id").select(whole(F.col("text")).alias("text"), "label")
-    found = [(row.text, row.label) for row in sample.toLocalIterator()]
+    found = [(row.text, row.label) for row in one_text_each(texts, chosen).toLocalIterator()]
     return learn([text for text, _ in found], [label for _, label in found])
 
 
