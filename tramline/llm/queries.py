@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 import corpus_pipeline
 from tramline.llm import quality, toxicity
@@ -14,10 +14,13 @@ from tramline.llm.common import table
 from tramline.llm.decontaminate import contamination_digest
 from tramline.llm.neighbours import nearest
 from tramline.llm.packing import pack
+from tramline.llm.periodic_runs import runs_digest
+from tramline.llm.prefix_trie import prefix_trie
 from tramline.llm.sharding import SHARD_BYTES, shard_digest
 from tramline.llm.simhash import near_duplicates
 from tramline.llm.substrings import substring_digest
 from tramline.llm.token_files import token_file_digest
+from tramline.llm.url_rules import CONFIDENCE, SUPPORT, judge_urls
 from tramline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,6 +218,175 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: the polynomial on each bit of each byte."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {codes}, lambda c, b: {byte}), 4294967295)"
+
+
+RUNS_SQL = rf"""
+WITH given AS (
+  SELECT doc_id, w, len(w) AS n, {_crc32_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+cycles AS (SELECT *, (h // 10) % greatest(n, 1) AS a, h // 10 AS g FROM given),
+texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(generate_series(0, n - 1), lambda i:
+           CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE w END AS w
+  FROM cycles),
+grams AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 8], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(0, n - 8)) AS i FROM texts WHERE n >= 24)),
+pairs AS (
+  SELECT doc_id, x.i, y.i - x.i AS q, x.i - row_number() OVER (PARTITION BY doc_id, y.i - x.i ORDER BY x.i) AS island
+  FROM grams x JOIN grams y USING (doc_id, gram) WHERE x.i < y.i),
+stretches AS (
+  SELECT doc_id, min(i) AS start, count(*) + 7 + q AS length, q AS period
+  FROM pairs GROUP BY doc_id, q, island HAVING count(*) + 7 + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(period) AS period FROM stretches GROUP BY doc_id, start, length),
+gone AS (SELECT doc_id, unnest(generate_series(start + period, start + length - 1)) AS p FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(0, n - 1)) AS p FROM texts WHERE n > 0)
+  WHERE (doc_id, p) NOT IN (SELECT doc_id, p FROM gone) GROUP BY doc_id),
+best AS (
+  SELECT x.* FROM runs x WHERE NOT EXISTS (
+    SELECT 1 FROM runs y WHERE y.doc_id = x.doc_id AND (y.length * x.period > x.length * y.period
+      OR y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period)))),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l
+  FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, length * 1000 // period AS exponent_milli,
+       sha256(coalesce(l, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _with_cycles(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the documents, some of them with a stretch of words said again and again."""
+    drawn = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    rows = docs.select("doc_id", "text", (drawn % 10 == 0).alias("chosen"), F.floor(drawn / 10).alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("chosen"), words)).withColumn("n", F.size("w"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    cycle = "slice(flatten(array_repeat(slice(w, a + 1, p), cast((n - a) div p + 1 as int))), 1, n - a)"
+    said = F.expr(f"array_join(concat(slice(w, 1, a), {cycle}), ' ')")
+    return rows.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), said).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", RUNS_SQL)
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in every document, and what is left without the repeats."""
+    return runs_digest(_with_cycles(table(spark, folder, "documents")))
+
+
+TRIE_SQL = f"""
+WITH numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM numbered)),
+rebuilt AS (
+  SELECT i.conv_id, role, text, n FROM ids i JOIN numbered t ON t.conv_id = i.conv_id - i.conv_id % 5 WHERE n <= h
+  UNION ALL SELECT conv_id, role, text, n FROM ids JOIN numbered USING (conv_id) WHERE n > h),
+lists AS (
+  SELECT conv_id, coalesce(turns, []) AS turns FROM ids LEFT JOIN (
+    SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY n) AS turns FROM rebuilt GROUP BY conv_id) USING (conv_id)),
+sizes AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY n) AS depth, strlen(text) AS size FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, len(turns) AS whole, depth, array_to_string(turns[1:depth], ',') AS path, array_to_string(turns[1:depth - 1], ',') AS up
+  FROM (SELECT conv_id, turns, unnest(generate_series(0, len(turns))) AS depth FROM lists)),
+nodes AS (
+  SELECT path, depth, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, depth),
+counted AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.up = n.path AND c.depth = n.depth + 1) AS n_children,
+         (n_convs - 1) * coalesce(s.size, 0) AS own
+  FROM nodes n LEFT JOIN sizes s ON s.conv_id = n.conv_id AND s.depth = n.depth),
+sums AS (
+  SELECT p.path, p.depth, count(*) FILTER (c.n_children = 0) AS n_leaves, CAST(sum(c.own) AS BIGINT) AS saved_tokens
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.path, p.depth)
+SELECT c.conv_id, c.depth, u.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (path, depth) LEFT JOIN nodes u ON u.path = c.up AND u.depth = c.depth - 1
+"""
+
+
+def _with_borrowed_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations): every conversation begins with the first turns of another."""
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    given = conversations.filter("conv_id is not null").select(
+        "conv_id", "turn", *(F.coalesce(name, F.lit("")).alias(name) for name in ("role", "text"))
+    )
+    numbered = given.withColumn("n", F.row_number().over(order))
+    ids = given.select("conv_id").distinct().withColumn("h", F.crc32(F.col("conv_id").cast("string")) % 9)
+    first = numbered.filter("n <= 8").withColumnRenamed("conv_id", "base")
+    borrowed = ids.withColumn("base", F.expr("conv_id - conv_id % 5")).join(first, "base").filter("n <= h")
+    own = numbered.filter(F.col("n") > F.crc32(F.col("conv_id").cast("string")) % 9)
+    columns = ["conv_id", F.col("n").alias("turn"), "role", "text"]
+    return borrowed.select(*columns).union(own.select(*columns)), ids.select("conv_id")
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the trie of all conversations."""
+    return prefix_trie(*_with_borrowed_turns(table(spark, folder, "conversations")))
+
+
+_URL_PARTS = r"'(?s)^(.*?)://([^/?#]*)([^?#]*)(.*)$'"
+_URL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+URL_SQL = rf"""
+WITH urls AS (
+  SELECT page_id, {_URL_LOWER.format(f"regexp_extract(url, {_URL_PARTS}, 1)")} AS scheme,
+         {_URL_LOWER.format(f"regexp_extract(url, {_URL_PARTS}, 2)")} AS host,
+         regexp_extract(url, {_URL_PARTS}, 3) AS path, regexp_extract(url, {_URL_PARTS}, 4) AS rest
+  FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
+fixed AS (
+  SELECT *, row_number() OVER () AS row, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+    list_reverse(string_split(host, '.')) AS l, string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/') AS d
+  FROM urls),
+judged AS (
+  SELECT row, page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS given,
+    list_sort(list_filter([
+      CASE WHEN scheme <> '' THEN 'scheme=' || scheme END, CASE WHEN l[1] <> '' THEN 'tld=' || l[1] END,
+      CASE WHEN len(l) > 1 THEN 'site=' || l[2] || '.' || l[1] END, CASE WHEN l[3] <> '' THEN 'name=' || l[3] END,
+      CASE WHEN l[4] <> '' THEN 'sub=' || l[4] END, CASE WHEN d[2] <> '' THEN 'dir=' || d[2] END,
+      CASE WHEN d[3] <> '' THEN 'page=' || d[3] END, 'ext=' || nullif(regexp_extract(path, '\.([A-Za-z0-9]{{1,5}})$', 1), ''),
+      'key=' || nullif(regexp_extract(rest, '^\?([^=&#]*)', 1), ''), CASE WHEN contains(rest, '#') THEN 'mark=#' END],
+      lambda t: t IS NOT NULL)) AS tokens
+  FROM fixed),
+parts AS (
+  SELECT row, given, list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1) AS part
+  FROM (SELECT row, given, tokens, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS m FROM judged)),
+total AS (SELECT count(*) AS n FROM judged WHERE given IS NOT NULL AND len(tokens) > 0),
+counts AS (
+  SELECT part, given, count(*) AS hits, sum(count(*)) OVER (PARTITION BY part) AS fits
+  FROM parts WHERE given IS NOT NULL GROUP BY part, given),
+rules AS (
+  SELECT part, given AS verdict, hits / fits AS confidence, hits
+  FROM counts, total WHERE hits >= ceil({SUPPORT!r}::DOUBLE * n) AND hits / fits >= {CONFIDENCE!r}::DOUBLE),
+found AS (
+  SELECT row, verdict, row_number() OVER (PARTITION BY row ORDER BY confidence DESC, hits DESC, len(part), verdict, part) AS r
+  FROM parts JOIN rules USING (part) WHERE given IS NULL)
+SELECT page_id, host, path, rule, coalesce(given, verdict, 'allow') AS verdict
+FROM judged LEFT JOIN (SELECT * FROM found WHERE r = 1) USING (row)
+"""
+
+
+@query("op13_url_filters", URL_SQL)
+def url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    return judge_urls(table(spark, folder, "pages").select("page_id", "url")).select("page_id", "judged.*")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
