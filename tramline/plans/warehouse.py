@@ -7,31 +7,41 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tramline import schemas
+from tramline.functions import to_date_or_null
 from tramline.operators.columns import audit_stamp
 from tramline.plans import clean, dims, facts, staging
-from tramline.session import configure, scratch_path
+from tramline.session import configure, place_of, scratch_path
+from tramline.sinks.commits import CommittedTable
 from tramline.sinks.conform import align_by_name
 from tramline.sinks.files import write_parquet_chunked
-from tramline.sinks.tables import (
-    append_load,
-    full_refresh,
-    incremental_append,
-    ingest_days_if_complete,
-    replace_by_date,
-    replace_days,
-)
+from tramline.sinks.tables import complete_days, full_refresh
 from tramline.sources.audit import IncompleteLanding, landing_audit
-from tramline.sources.files import broken_files, scan_glob, scan_hourly_json, scan_json_rows, scan_xml_rows
-from tramline.sources.payloads import array_position_seq, xml_totals
-from tramline.sources.ranges import (
-    MissingDays,
-    absent_days,
-    backfill_range,
-    date_hour_spine,
-    previous_month_bounds,
-)
+from tramline.sources.catalog import RAW_SOURCES
+from tramline.sources.census import landed_days, read_range
+from tramline.sources.files import broken_files, scan_hourly_json, scan_json_rows
+from tramline.sources.payloads import array_position_seq, promised_by_day, scan_xml_pages
+from tramline.sources.ranges import MissingDays, date_hour_spine, previous_month_bounds
 
 DAY = "usage_date"
+#: Tables that change by committed batches, with the column of their folders; others are replaced as a whole.
+COMMITTED = {
+    "bike_usage": DAY,
+    "bike_usage_by_hour": DAY,
+    "bus_usage": DAY,
+    "subway_usage": DAY,
+    "fact_bike_usage": "date_id",
+    "fact_bus_usage": "date_id",
+    "fact_subway_usage": "date_id",
+}
+#: Logical source name -> table, for those the warehouse loads.
+_SOURCE_TABLES = {
+    "bike_hour": "bike_usage",
+    "bike_location": "bike_location",
+    "bus": "bus_usage",
+    "bus_location": "bus_stop_location",
+    "subway": "subway_usage",
+    "subway_location": "subway_location",
+}
 
 
 def _days(start: date, end: date) -> list[date]:
@@ -48,7 +58,13 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> CommittedTable:
+        """A table that changes by committed batches."""
+        return CommittedTable(self.spark, self.path(name), schemas.table_schema(name), COMMITTED[name])
+
     def read(self, name: str) -> DataFrame:
+        if name in COMMITTED:
+            return self.table(name).read()
         return self.spark.read.schema(schemas.table_schema(name)).parquet(self.path(name))
 
     def _aligned(self, rows: DataFrame, name: str) -> DataFrame:
@@ -61,22 +77,46 @@ class Warehouse:
         if raw.isEmpty():
             raise IncompleteLanding(f"no rows below {landing}")
         batch = self._aligned(clean.clean_bike_usage(raw, run), "bike_usage")
-        replace_by_date(batch, self.path("bike_usage"), run.date() - timedelta(days=1))
+        self.table("bike_usage").replace_days(batch, [run.date() - timedelta(days=1)])
+
+    def _bus_pages(self, landing: str) -> DataFrame:
+        """The landed pages, read and parsed once, as a written table."""
+        place = scratch_path(self.spark, "bus-pages")
+        scan_xml_pages(self.spark, landing, schemas.RAW_BUS_USAGE).write.parquet(place)
+        return self.spark.read.parquet(place)
+
+    def _bus_batch(self, pages: DataFrame, run: datetime) -> DataFrame:
+        return self._aligned(clean.clean_bus_usage(pages.select(F.inline("rows")), run), "bus_usage")
 
     def load_bus_day(self, landing: str, run: datetime) -> None:
         """Replace the day, but only if every page has its total and all promised rows came."""
-        pages = xml_totals(self.spark.read.text(landing, wholetext=True), "value")
-        promised = pages.agg(
-            F.max("list_total_count").alias("rows"), F.bool_or("key_absent").alias("absent")
+        pages = self._bus_pages(landing)
+        seen = pages.agg(
+            F.max("list_total_count").alias("promised"),
+            F.count(F.when(F.col("list_total_count").isNull(), 1)).alias("without"),
+            F.coalesce(F.sum(F.size("rows")), F.lit(0)).alias("landed"),
         ).first()
-        if promised["absent"] or promised["rows"] is None:
+        if seen["without"] or seen["promised"] is None:
             raise IncompleteLanding(f"a page below {landing} has no total")
-        landed = scan_xml_rows(self.spark, landing, schemas.RAW_BUS_USAGE).count()
-        if landed != promised["rows"]:
-            raise IncompleteLanding(f"{landed} of {promised['rows']} rows below {landing}")
-        raw = scan_xml_rows(self.spark, landing, schemas.RAW_BUS_USAGE)
-        batch = self._aligned(clean.clean_bus_usage(raw, run), "bus_usage")
-        replace_by_date(batch, self.path("bus_usage"), run.date() - timedelta(days=1))
+        if seen["landed"] != seen["promised"]:
+            raise IncompleteLanding(f"{seen['landed']} of {seen['promised']} rows below {landing}")
+        self.table("bus_usage").replace_days(self._bus_batch(pages, run), [run.date() - timedelta(days=1)])
+
+    def load_bus_days_if_complete(self, landing: str, run: datetime) -> list[date]:
+        """Replace only the days of which every page has the day's total and all promised rows came.
+
+        The landing may hold pages of many days. A day with a missing or broken page, a page
+        landed twice or pages that promise different totals keeps its earlier rows. All whole days
+        change at one moment; returns them.
+        """
+        pages = self._bus_pages(landing)
+        batch = self._bus_batch(pages, run)
+        promised = promised_by_day(pages, lambda row: to_date_or_null(row["USE_YMD"]), DAY)
+        audit = landing_audit(batch, promised, promised.select(DAY), [DAY])
+        days = complete_days(audit)
+        if days:
+            self.table("bus_usage").replace_days(batch.where(F.col(DAY).isin(days)), days)
+        return days
 
     def load_bike_days_if_complete(
         self, landing: str, promised: DataFrame, run: datetime, array_files: bool = False
@@ -90,7 +130,10 @@ class Warehouse:
         batch = self._aligned(clean.clean_bike_usage(raw, run), "bike_usage")
         span = promised.agg(F.min(DAY).alias("start"), F.max(DAY).alias("end"))
         audit = landing_audit(batch, promised, date_hour_spine(span), [DAY, "usage_time"])
-        return ingest_days_if_complete(batch, audit, self.path("bike_usage"))
+        days = complete_days(audit)
+        if days:
+            self.table("bike_usage").replace_days(batch.where(F.col(DAY).isin(days)), days)
+        return days
 
     def load_bike_day_by_hour(self, landing: str, run: datetime, partial: bool = False) -> list[str]:
         """The strict variant, from a folder of hour files; returns the unreadable ones.
@@ -113,7 +156,7 @@ class Warehouse:
             F.to_json(F.struct(*(f"`{column}`" for column in raw.columns))).alias("_raw"), "_rejected_columns"
         )
         batch = self._aligned(clean.clean_bike_usage_strict(good), name)
-        replace_by_date(batch, self.path(name), run.date() - timedelta(days=1))
+        self.table(name).replace_days(batch, [run.date() - timedelta(days=1)])
         full_refresh(bad, self.path(f"{name}_rejects"))
         return broken
 
@@ -126,34 +169,43 @@ class Warehouse:
         rows = clean.clean_bike_usage_bulk(raw)
         write_parquet_chunked(audit_stamp(rows, run) if run else rows, staging_path)
 
-    def load_bike_history(self, staging_path: str, pattern: str = "part-*.parquet") -> None:
-        rows = scan_glob(self.spark, staging_path, pattern)
-        append_load(self._aligned(rows, "bike_usage"), self.path("bike_usage"), [DAY], gather=True)
+    def load_bike_history(self, staging_path: str, pattern: str = "part-*.parquet") -> list[str]:
+        """Add the staged files that were not loaded before; return them. A repeated run adds nothing."""
+
+        def rows(files: list[str]) -> DataFrame:
+            return self._aligned(self.spark.read.parquet(*files), "bike_usage")
+
+        return self.table("bike_usage").load_files(staging_path, rows, pattern)
 
     # Subway: landed as one Parquet folder per day (usage_date=...).
 
     def load_subway_range(
         self, landing: str, start: date, end: date, run: datetime, append: bool = False
-    ) -> list[date]:
-        """Load the landed days of a range; a day that was not landed is left as it is, and returned."""
-        raw = backfill_range(self.spark.read.parquet(landing), DAY, start, end)
+    ) -> dict[date, str]:
+        """Load the days of a range that were landed and fit; the others are left as they are.
+
+        Returns why each day was left out: not landed, unreadable, or of types that cannot be
+        widened to the raw schema. All loaded days change at one moment.
+        """
+        raw, left_out = read_range(
+            self.spark, landing, DAY, start, end, schemas.RAW_SUBWAY_USAGE, schemas.RAW_SUBWAY_OPTIONAL
+        )
         batch = self._aligned(clean.clean_subway_usage(raw, run), "subway_usage")
-        target = self.path("subway_usage")
-        absent = sorted(row[DAY] for row in absent_days(raw, DAY, start, end).collect())
-        landed = [day for day in _days(start, end) if day not in absent]
-        if append:
-            append_load(batch, target, [DAY], gather=True)
-        elif landed:
-            replace_days(batch, target, landed)
-        return absent
-
-    def load_subway_month(self, landing: str, run: datetime, strict: bool = False) -> list[date]:
-        """Load the calendar month before the run and return the days that were not landed; ``strict`` raises then."""
+        loaded = [day for day in _days(start, end) if day not in left_out]
+        if append and loaded:
+            self.table("subway_usage").append(batch, gather=True)
+        elif loaded:
+            self.table("subway_usage").replace_days(batch, loaded)
+        return left_out
+
+    def load_subway_month(self, landing: str, run: datetime, strict: bool = False) -> dict[date, str]:
+        """Load the calendar month before the run and return the days left out; ``strict`` raises before anything is loaded if a day was not landed or cannot be read."""
         start, end = previous_month_bounds(run.date())
         if strict:
-            absent = absent_days(self.spark.read.parquet(landing), DAY, start, end).collect()
+            whole = {found.day for found in landed_days(self.spark, landing, DAY, start, end) if not found.fault}
+            absent = [day for day in _days(start, end) if day not in whole]
             if absent:
-                raise MissingDays(f"no rows for {sorted(row[DAY] for row in absent)}")
+                raise MissingDays(f"no rows for {absent}")
         return self.load_subway_range(landing, start, end, run)
 
     # Places: replaced as a whole, unless nothing was landed.
@@ -182,6 +234,22 @@ class Warehouse:
 
     # Models.
 
+    def register_sources(self, prefix: str = "") -> dict[str, DataFrame]:
+        """A temporary view over each loaded table under its raw-layer name, for SQL; returns them."""
+        frames = {}
+        for logical, physical in RAW_SOURCES.items():
+            if not self._has(_SOURCE_TABLES[logical]):
+                continue
+            frames[physical] = self.read(_SOURCE_TABLES[logical])
+            frames[physical].createOrReplaceTempView(prefix + physical)
+        return frames
+
+    def _has(self, name: str) -> bool:
+        if name in COMMITTED:
+            return self.table(name).exists()
+        place, fs = place_of(self.spark, self.path(name))
+        return fs.exists(place)
+
     def staged(self) -> dict[str, DataFrame]:
         return {
             "bike": staging.src_bike_usage(self.read("bike_usage")),
@@ -232,6 +300,4 @@ class Warehouse:
 
     def _append_fact(self, name: str, rows: DataFrame) -> str | None:
         """The mark is a literal on the stamp, so it travels below the joins into the usage scan."""
-        return incremental_append(
-            self._aligned(rows, name), self.path(name), partition_by=["date_id"]
-        )
+        return self.table(name).append_above_mark(self._aligned(rows, name))

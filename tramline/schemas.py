@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -39,6 +40,11 @@ RAW_BUS_USAGE = text_fields(
 )
 # The station code keeps its JSON type (number or text), because 0 and "0" differ.
 RAW_METRO_STATION = text_fields("역명", "위도", "경도", "호선").add("고유역번호(외부역코드)", VariantType())
+# Landed as Parquet; earlier days have narrower counts, and some no registration date.
+RAW_SUBWAY_USAGE = (
+    text_fields("USE_YMD", "LINE", "STATION").add("GT_ON", LongType()).add("GT_OFF", LongType()).add("REG_DATE", StringType())
+)
+RAW_SUBWAY_OPTIONAL = ["REG_DATE"]
 METRO_REQUIRED = ["역명", "위도", "경도", "호선"]
 PAGING_COLUMNS = ["START_INDEX", "END_INDEX", "RNUM"]
 

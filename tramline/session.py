@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -38,3 +39,9 @@ def scratch_path(spark: SparkSession, label: str = "scratch") -> str:
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/tramline-{label}-{uuid.uuid4().hex}"
+
+
+def place_of(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -1,5 +1,6 @@
 """Where rows go: files, batches conformed to a table, and table-write protocols."""
 
+from tramline.sinks.commits import CommittedTable, Conflict
 from tramline.sinks.conform import (
     SchemaDrift,
     accepted,
@@ -16,6 +17,7 @@ from tramline.sinks.files import (
 )
 from tramline.sinks.tables import (
     append_load,
+    complete_days,
     full_refresh,
     restore,
     incremental_append,
@@ -28,7 +30,7 @@ from tramline.sinks.tables import (
 )
 
 __all__ = [
-    "SchemaDrift", "accepted", "align_by_name", "append_load", "full_refresh", "restore",
+    "CommittedTable", "Conflict", "SchemaDrift", "accepted", "align_by_name", "append_load", "complete_days", "full_refresh", "restore",
     "incremental_append", "ingest_days_if_complete", "late_rows", "load_continue",
     "materialize", "read_if_present", "rejected", "replace_by_date", "replace_days",
     "schema_guard", "write_date_folders", "write_json", "write_parquet", "write_parquet_chunked",

@@ -10,23 +10,18 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tramline.operators.filters import filter_hwm, high_water_mark
+from tramline.session import place_of
 from tramline.sinks.conform import schema_guard
 from tramline.sources.audit import DONE
 
-def _place(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    """A Hadoop path and its file system."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first load (no folder, or one without files)."""
-    place, fs = _place(spark, path)
+    place, fs = place_of(spark, path)
     if not fs.exists(place):
         return None
     try:
@@ -42,6 +37,14 @@ def replace_by_date(batch: DataFrame, path: str, day: date, column: str = "usage
     replace_days(batch, path, [day], column)
 
 
+def only_days(rows: DataFrame, days: Sequence[date], column: str) -> DataFrame:
+    """``rows``, in which a row of any other day stops the job."""
+    stray = F.raise_error(
+        F.concat(F.lit("row of another day: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+    )
+    return rows.withColumn(column, F.when(F.col(column).isin(list(days)), F.col(column)).otherwise(stray))
+
+
 def replace_days(
     batch: DataFrame, path: str, days: Sequence[date], column: str = "usage_date"
 ) -> None:
@@ -54,14 +57,10 @@ def replace_days(
 
     Rows are not shuffled: each task writes its part of a day, whatever the day's size.
     """
-    wanted = F.col(column).isin(list(days))
-    stray = F.raise_error(
-        F.concat(F.lit("row of another day: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
-    )
-    checked = batch.withColumn(column, F.when(wanted, F.col(column)).otherwise(stray))
     written = Observation()
     (
-        checked.observe(written, F.collect_set(column).alias("days"))
+        only_days(batch, days, column)
+        .observe(written, F.collect_set(column).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
@@ -81,11 +80,11 @@ def full_refresh(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """
     folder, _, name = path.rstrip("/").rpartition("/")
     mark = f"{folder}/_{name}-{uuid.uuid4().hex}"
-    place, fs = _place(rows.sparkSession, path)
+    place, fs = place_of(rows.sparkSession, path)
     restore(rows.sparkSession, path)
     rows.write.partitionBy(*partition_by).parquet(f"{mark}-new")
-    fresh, _ = _place(rows.sparkSession, f"{mark}-new")
-    former, _ = _place(rows.sparkSession, f"{mark}-old")
+    fresh, _ = place_of(rows.sparkSession, f"{mark}-new")
+    former, _ = place_of(rows.sparkSession, f"{mark}-old")
     replacing = fs.exists(place)
     if replacing and not fs.rename(place, former):
         raise OSError(f"cannot set {path} aside")
@@ -100,10 +99,10 @@ def full_refresh(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 def restore(spark: SparkSession, path: str) -> bool:
     """Bring back the table a broken-off full refresh had set aside; whether there was one."""
     folder, _, name = path.rstrip("/").rpartition("/")
-    place, fs = _place(spark, path)
+    place, fs = place_of(spark, path)
     if fs.exists(place):
         return False
-    pattern, _ = _place(spark, f"{folder}/_{name}-*-old")
+    pattern, _ = place_of(spark, f"{folder}/_{name}-*-old")
     aside = [found.getPath() for found in fs.globStatus(pattern) or []]
     if len(aside) > 1:
         raise OSError(f"several old tables of {path}: {[str(x) for x in aside]}")
@@ -182,11 +181,14 @@ def ingest_days_if_complete(
 
     Returns the replaced days. Only days are collected, never rows.
     """
-    done = F.every(F.col("status").isin(DONE))
-    days = [
-        row[column]
-        for row in audit.groupBy(column).agg(done.alias("done")).where("done").select(column).collect()
-    ]
+    days = complete_days(audit, column)
     if days:
         replace_days(batch.where(F.col(column).isin(days)), path, days, column)
-    return sorted(days)
+    return days
+
+
+def complete_days(audit: DataFrame, column: str = "usage_date") -> list[date]:
+    """The days whose every audited cell is complete, sorted."""
+    done = F.every(F.col("status").isin(DONE))
+    whole = audit.groupBy(column).agg(done.alias("done")).where("done").select(column)
+    return sorted(row[column] for row in whole.collect())

@@ -7,10 +7,10 @@ totals report it as lacking its key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tramline.functions.payload import xml_total_count
 from tramline.schemas import envelope
@@ -99,3 +99,33 @@ def xml_totals(documents: DataFrame, payload: str, keep: Sequence[str] = ()) ->
     return documents.select(
         *keep, total.alias("list_total_count"), total.isNull().alias("key_absent")
     )
+
+
+def scan_xml_pages(spark: SparkSession, path: str, row: StructType) -> DataFrame:
+    """(file, list_total_count, rows) of each landed XML page, in one read.
+
+    A file is a page, of at most a page's rows. The total is null if the page lacks one or
+    cannot be read; ``rows`` is empty then or if it has none.
+    """
+    shape = StructType([StructField("list_total_count", StringType()), StructField("row", ArrayType(row))])
+    options = {"ignoreSurroundingSpaces": "false", "nullValue": "", **_mode(False)}
+    read = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.from_xml("value", shape, options).alias("page")
+    )
+    rows = F.coalesce(F.col("page.row"), F.array().cast(ArrayType(row)))
+    total = F.trim("page.list_total_count").try_cast("int")
+    return read.select("file", total.alias("list_total_count"), rows.alias("rows"))
+
+
+def promised_by_day(pages: DataFrame, day: Callable[[Column], Column], name: str = "usage_date") -> DataFrame:
+    """(day, list_total_count, pages) of landed XML pages; ``day`` is the rule for a row's day.
+
+    A day's pages must agree: the total is null if one lacks it or two differ. A page without
+    rows belongs to the day its folder names (``name=yyyy-mm-dd``), or to none.
+    """
+    folder = F.regexp_extract("file", f"/{name}=([0-9-]+)/", 1).try_cast("date")
+    days = F.array_distinct(F.transform("rows", day))
+    each = pages.select("file", "list_total_count", F.explode(F.when(F.size("rows") > 0, days).otherwise(F.array(folder))).alias(name))
+    total = F.col("list_total_count")
+    agreed = F.when(F.count(F.when(total.isNull(), 1)) + F.count_distinct(total) == 1, F.max(total))
+    return each.where(F.col(name).isNotNull()).groupBy(name).agg(agreed.alias("list_total_count"), F.count("*").alias("pages"))
