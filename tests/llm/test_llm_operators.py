@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from public_tokenizers import path
@@ -17,7 +18,7 @@ import corpus_pipeline
 from tramline.llm import chat, decontaminate, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
 from tramline.llm.common import written
 from tramline.llm.components import components
-from tramline.llm.tokens import encoder
+from tramline.llm.tokens import encoded, encoder
 
 VOCABULARY = path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, words string, score double, shard string, cut string, row long"
@@ -46,14 +47,36 @@ def pairs(docs):
 def test_ids_are_those_of_the_library():
     own, library = encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
     texts = [t or "" for t in ODD] + ["##! # a.,b ...x", "12.5 it's IT'S 's. á ́ 가", "w\x1cq \u0085"]
-    ids = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
-    assert ids == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, ends = own.encode(pa.array(texts))
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_of_every_character_beside_marks():
+    """A character that decomposes under the vocabulary's rules keeps what the library joins to it."""
+    own, library = encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    characters = [chr(c) for c in range(0x110) if c > 32] + [chr(c) for c in range(0x110, 0x10000) if not 0xD800 <= c < 0xE000]
+    texts = []
+    for at in range(0, len(characters), 64):
+        some = characters[at : at + 64]
+        texts += [" ".join(f"{c}{mark}" for c in some) for mark in ".,!?;:#$%&*"]
+        texts += [" ".join(f"DEN{c},b {c}x! {c}" for c in some), " ".join(f";{c} 1{c}? ab{c}." for c in some)]
+    ids, ends = own.encode(pa.array(texts))
+    expected = library.encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [text for text, part, want in zip(texts, np.split(ids, ends[:-1]), expected) if part.tolist() != want.ids]
+    assert not wrong
+
+
+def test_ids_of_little():
+    ids, ends = encoder(VOCABULARY).encode(pa.array([], pa.string()))
+    assert len(ids) == len(ends) == 0
+    ids, ends = encoded(VOCABULARY, pa.array([None, "", "a b", " "]), 7)
+    assert ids[ends - 1].tolist() == [7] * 4 and ends[[0, 1]].tolist() == [1, 2] and ends[3] == ends[2] + 1
 
 
 def test_other_vocabularies_are_encoded_whole():
     own, library = encoder(path("byte_bpe_50k.json")), Tokenizer.from_file(path("byte_bpe_50k.json"))
     assert not own.plain
-    assert np.frombuffer(own.encode(["a  b\nc"])[0], "<u4").tolist() == library.encode("a  b\nc", add_special_tokens=False).ids
+    assert own.encode(pa.array(["a  b\nc"]))[0].tolist() == library.encode("a  b\nc", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 1000])
@@ -110,7 +133,7 @@ def test_plan_is_best_fit_decreasing(seed):
 
 
 def test_packing(docs, monkeypatch):
-    monkeypatch.setattr(packing, "RANK_GROUP", 3)
+    monkeypatch.setattr(packing, "RANK_BYTES", 700)
     library, held = Tokenizer.from_file(VOCABULARY), {}
     rows = packing.pack(docs, VOCABULARY, 1, capacity=64).collect()
     made = {}

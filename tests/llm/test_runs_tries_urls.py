@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 
 from tramline.llm import periodic_runs, prefix_trie, url_rules
+from tramline.llm.words import joined_words, split_words
 
 # --- periodic runs
 
@@ -68,12 +69,12 @@ def test_one_period_in_two_places():
 
 @pytest.mark.parametrize("texts", [["a b  c\t\nd", None, "", "  x y ", "\u00e9 \u00f1\x0bz\x1cq"], [], [""], [" "], ["a"], [None]])
 def test_words_are_split_and_joined(texts):
-    words, ends = periodic_runs.split_words(pa.array(texts, pa.string()))
+    words, ends = split_words(pa.array(texts, pa.string()))
     split = [(text or "").encode().split() for text in texts]
     assert words.to_pylist() == sum(split, []) and ends.tolist() == np.cumsum([len(w) for w in split]).tolist()
-    assert periodic_runs.joined_words(words, ends).to_pylist() == [b" ".join(w) for w in split]
+    assert joined_words(words, ends).to_pylist() == [b" ".join(w) for w in split]
     part = pa.array(["x x", *texts, "y"], pa.string()).slice(1, len(texts))
-    assert periodic_runs.split_words(part)[0].to_pylist() == sum(split, [])
+    assert split_words(part)[0].to_pylist() == sum(split, [])
 
 
 def test_collapsed_documents(spark):

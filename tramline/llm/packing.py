@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tramline.llm.common import written
 from tramline.llm.token_files import tokenize
 
-#: Pieces of one length that share a ranking group, on average.
-RANK_GROUP = 2_000
+#: Bytes of the pieces of one length that share a ranking group, on average.
+RANK_BYTES = 4 << 20
 
 
 class Slots(NamedTuple):
@@ -112,22 +112,26 @@ def pack(
 
     ``ids`` are little-endian uint32. Null text counts as empty and is the end id alone; a null
     id stays null; rows that share an id are separate documents. An empty table has no pieces.
-    Texts are tokenized once, into a written table. Ranks come in two steps, so that a length
-    with a third of all pieces is no single group: pieces of a length are dealt to groups by a
-    hash, counted, and numbered within a group from where the groups before it end.
+    Texts are tokenized once, into a written table, in which every piece has a number of its own.
+    Ranks come in two steps, so that a length with a third of all pieces is no single group:
+    pieces of a length are dealt by their number to groups of bounded size, counted, and numbered
+    within a group from where the groups before it end. Equal rows are dealt apart like others.
     """
-    pieces = written(cut(tokenize(docs, tokenizer, end_id, id_column, text_column), capacity), "pieces")
+    cuts = cut(tokenize(docs, tokenizer, end_id, id_column, text_column), capacity)
+    pieces = written(cuts.withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit(counts, capacity)
-    groups = max(1, -(-max(counts.values(), default=0) // RANK_GROUP))
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc", "piece"), F.lit(groups)))
+    # At most one row a length.
+    groups = [(length, -(-n * (4 * length + 32) // RANK_BYTES)) for length, n in counts.items()]
+    many = F.broadcast(docs.sparkSession.createDataFrame(groups, "length int, groups long"))
+    dealt = pieces.join(many, "length").withColumn("part", F.pmod(F.xxhash64("row"), F.col("groups")))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         dealt.groupBy("length", "part")
         .agg(F.count("*").alias("n"))
         .select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
-    own = Window.partitionBy("length", "part").orderBy("doc", "piece", F.crc32("ids"))
+    own = Window.partitionBy("length", "part").orderBy("row")
     ranked = dealt.withColumn("own", F.row_number().over(own) - 1).join(bases, ["length", "part"])
     return _placed(ranked, plan)
 

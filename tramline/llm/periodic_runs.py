@@ -27,6 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from tramline.llm.common import give_back, in_small_batches, pieces
+from tramline.llm.words import joined_words, split_words
 
 #: A run has at least this many words ...
 LEAST_WORDS = 24
@@ -45,44 +46,6 @@ _SEEN = pa.struct(
 _SEEN_DDL = "struct<n_words:bigint,runs:array<struct<start:bigint,length:bigint,period:bigint>>,collapsed:string>"
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts one behind the other, and where each text's words end.
-
-    Words stand between spaces and the control characters 9 to 13. Null texts have none.
-    """
-    texts = pa.compute.fill_null(texts.cast(pa.large_binary()), b"")
-    _, offsets, data = texts.buffers()
-    places = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    held = np.frombuffer(data, np.uint8)[places[0] : places[-1]] if data is not None else np.empty(0, np.uint8)
-    places = places - places[0]
-    inside = ~((held == 32) | ((held >= 9) & (held <= 13)))
-    opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
-    cut = places[:-1][places[:-1] < len(held)]
-    opens[cut] = inside[cut]
-    starts = np.flatnonzero(opens)
-    letters = np.cumsum(inside, dtype=np.int64)
-    spans = np.concatenate([letters[starts] - 1, letters[-1:]]) if len(starts) else np.zeros(1, np.int64)
-    buffers = [None, pa.py_buffer(spans.astype(np.int64)), pa.py_buffer(held[inside])]
-    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), np.searchsorted(starts, places[1:])
-
-
-def joined_words(words: pa.Array, ends: np.ndarray) -> pa.Array:
-    """One text for each run of words up to ``ends``: the words joined by one space."""
-    _, offsets, data = words.buffers()
-    spans = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
-    letters = np.frombuffer(data, np.uint8)[spans[0] : spans[-1]] if data is not None else np.empty(0, np.uint8)
-    spans = spans - spans[0]
-    said = np.full(len(letters) + len(words), 32, np.uint8)
-    said[np.arange(len(letters)) + np.repeat(np.arange(len(words)), np.diff(spans))] = letters
-    after = spans[ends] + ends  # the place behind the space behind a text's last word
-    last = after[np.diff(after, prepend=0) > 0] - 1
-    said = np.delete(said, last)
-    after = after - np.cumsum(np.diff(after, prepend=0) > 0)
-    buffers = [None, pa.py_buffer(np.concatenate([[0], after]).astype(np.int64)), pa.py_buffer(said)]
-    return pa.Array.from_buffers(pa.large_binary(), len(ends), buffers)
-
-
 def _numbered(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A number for each distinct pair of small numbers."""
     return pd.factorize(left * (int(right.max(initial=0)) + 1) + right)[0]

@@ -40,6 +40,9 @@ PAGE_IDS = 1 << 16
 #: Characters tokenized at a time in one task.
 SLICE_CHARS = 4 << 20
 
+#: Blocks packed or unpacked at a time; a long document's page has many more.
+_TOGETHER = 512
+
 _HEAD = struct.Struct("<IHBB")
 _PAGE = (
     "shard int, page int, first long, n_ids long, "
@@ -52,9 +55,9 @@ _PAGE = (
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
     """The low ``width`` bits of each row's values, rows padded to whole bytes."""
-    places = np.arange(width, dtype=np.uint32)
-    bits = ((values[:, :, None] >> places) & 1).astype(np.uint8)
-    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+    octets = values.astype("<u2" if width <= 16 else "<u4")
+    bits = np.unpackbits(octets.view(np.uint8).reshape(*values.shape, octets.itemsize), axis=2, bitorder="little")
+    return np.packbits(bits[:, :, :width].reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def _block_bytes(block: np.ndarray, low: int, width: int, packed: bytes) -> bytes:
@@ -81,7 +84,8 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, bytes]:
     """(index, blocks) of a run of unsigned 32-bit ids."""
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     parts: list[bytes] = []
-    for group in (ids[: len(ids) // BLOCK * BLOCK].reshape(-1, BLOCK), ids[len(ids) // BLOCK * BLOCK :][None, :]):
+    full = ids[: len(ids) // BLOCK * BLOCK].reshape(-1, BLOCK)
+    for group in (*(full[at : at + _TOGETHER] for at in range(0, len(full), _TOGETHER)), ids[full.size :][None, :]):
         if not group.size:
             continue
         low = group.min(axis=1)
@@ -149,10 +153,10 @@ def tokenize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, SLICE_CHARS, "text"):
-            ids = encoded(tokenizer, part.column("text").to_pylist(), end_id)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc", "ids"]
-            )
+            ids, ends = encoded(tokenizer, part.column("text"), end_id)
+            spans = pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int32))
+            held = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, spans, pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([part.column("doc"), held], ["doc", "ids"])
 
     rows = in_small_batches(docs).select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))
     return rows.mapInArrow(run, "doc long, ids binary")
@@ -197,8 +201,8 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=_PAGE_ARROW)
 
         for part in pieces(batches, SLICE_CHARS, "text"):
-            ids = encoded(tokenizer, part.column("text").to_pylist(), end_id)
-            for doc, own in zip(part.column("doc").to_pylist(), ids):
+            ids, ends = encoded(tokenizer, part.column("text"), end_id)
+            for doc, own in zip(part.column("doc").to_pylist(), np.split(ids, ends[:-1])):
                 if held and size + len(own) > PAGE_IDS:
                     yield close()
                 doc_ids.append(doc)

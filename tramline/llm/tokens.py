@@ -8,6 +8,7 @@ words one after the other. Words repeat, so each process encodes a word once and
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from array import array
 from functools import lru_cache
@@ -15,8 +16,11 @@ from itertools import islice
 from sys import byteorder
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer, pre_tokenizers
 
+from tramline.llm.words import split_words
+
 #: Words a process remembers; at the bound it forgets all and goes on.
 REMEMBERED = 700_000
 _CHUNK = 64
@@ -48,9 +52,11 @@ class WordEncoder:
             token["lstrip"] or token["rstrip"] or token["single_word"] or token["content"].split() != [token["content"]]
             for token in added
         )
-        self.letters = dict(enumerate(_byte_letters()))
+        self.letters = {**dict(enumerate(_byte_letters())), 32: " "}
         # Marks that end no added token may be cut off a word's end.
         self.marks = "".join(set(".,!?;:#$%&*") - set("".join(token["content"] for token in added)))
+        latin = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
+        self.simple = re.compile(f"([{latin}]+)([{re.escape(self.marks)}]*)").fullmatch
         self.direct = self.plain and self._agrees("ProBe") and self._agrees("Épreuveß")
         # The library with the model alone, for words that are spelled already; an id that ends
         # a word tells where the next begins.
@@ -72,11 +78,14 @@ class WordEncoder:
             and any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] for s in steps)
         )
 
-    def _spelled(self, word: str) -> str:
-        """A word of Latin letters as the model sees it: composed, lower case, a letter a byte."""
-        if word.isascii():
-            return word.lower()
-        low = unicodedata.normalize("NFC", word).lower()
+    def _spelled(self, words: str) -> str:
+        """Words of Latin letters as the model sees them: composed, lower case, a letter a byte.
+
+        Words are apart by one space each.
+        """
+        if words.isascii():
+            return words.lower()
+        low = unicodedata.normalize("NFC", words).lower()
         return low.encode().decode("latin-1").translate(self.letters)
 
     def _agrees(self, word: str) -> bool:
@@ -86,19 +95,25 @@ class WordEncoder:
             return False
         return [p for p, _ in steps[1].pre_tokenize_str(steps[0].normalize_str(word))] == [self._spelled(word)]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each whole text; null and empty texts have none.
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, where each text's ids end); null and empty texts have none.
 
-        New words of all the texts are learned together, which costs the library half as much.
+        New words of all the texts are learned together, which costs the library half as much;
+        equal words are looked up once, and their ids gathered by place.
         """
         if not self.plain:
-            return [self._pack(self.tokenizer.encode(text or "", add_special_tokens=False).ids) for text in texts]
-        split = [text.encode("utf-8", "surrogatepass").split() if text else [] for text in texts]
+            each = [self.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts.to_pylist()]
+            return np.asarray([one for ids in each for one in ids], "<u4"), np.cumsum([len(ids) for ids in each], dtype=np.int64)
+        words, ends = split_words(texts)
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED:  # frequent words are met, and so stand, first
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
-        self._learn(list(set().union(*split).difference(self.known)))
-        ids_of = self.known.__getitem__
-        return [b"".join(map(ids_of, words)) for words in split]
+        self._learn([word for word in different if word not in self.known])
+        found = pa.array(map(self.known.__getitem__, different), pa.large_binary()).take(coded.indices)
+        _, offsets, data = found.buffers()
+        spans = np.frombuffer(offsets, np.int64, len(found) + 1) // 4
+        return np.frombuffer(data or b"", "<u4")[spans[0] : spans[-1]], (spans - spans[0])[ends]
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -107,42 +122,47 @@ class WordEncoder:
     def _learn(self, words: list[bytes]) -> None:
         """Remember the ids of new words.
 
-        Marks behind a letter or digit are a word of their own to the rules. A word of Latin
-        letters goes straight to the library's model; the others take all its steps.
+        Marks behind a letter or digit are a word of their own to the rules, as long as the word
+        still ends in one when it is normalised. A word of Latin letters goes straight to the
+        library's model; the others take all its steps.
         """
         known, quick, slow, joined = self.known, {}, {}, []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            base = text.rstrip(self.marks)
-            if len(base) < len(text) and base and base[-1].isalnum():
-                parts = base.encode(), text[len(base) :].encode()
+        for word, text in zip(words, b" ".join(words).decode("utf-8", "replace").split(" ") if words else []):
+            latin = self.direct and self.simple(text)
+            if latin:
+                base, marks = latin.groups()
+            else:
+                base = text.rstrip(self.marks)
+                ends = unicodedata.normalize("NFC", base).lower()[-1:]
+                base, marks = (base, text[len(base) :]) if ends.isalnum() else (text, "")
+            if marks:
+                parts = base.encode(), marks.encode()
                 joined.append((word, *parts))
                 if parts[1] not in known:
                     slow[parts[1]] = None
-                word, text = parts[0], base
+                word = parts[0]
                 if word in known:
                     continue
-            if self.direct and text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
-                quick[word] = self._spelled(text)
+            if latin:
+                quick[word] = base
             else:
                 slow[word] = None
-        self._learn_spelled(quick)
+        self._learn_simple(quick)
         slow = list(slow)
         for start in range(0, len(slow), _CHUNK):
             self._learn_together(slow[start : start + _CHUNK])
         for word, base, marks in joined:
             known[word] = known[base] + known[marks]
 
-    def _learn_spelled(self, words: dict[bytes, str]) -> None:
+    def _learn_simple(self, words: dict[bytes, str]) -> None:
         """Words that only the model has to see."""
-        spelled = list(words.items())
-        for start in range(0, len(spelled), _LINE):
-            part = spelled[start : start + _LINE]
-            line = " ".join(text for _, text in part)
+        keys, texts = list(words), list(words.values())
+        for start in range(0, len(keys), _LINE):
+            line = self._spelled(" ".join(texts[start : start + _LINE]))
             ids = np.asarray(self.alone.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             data = ids.tobytes()
-            self.known.update((word, data[a:b]) for (word, _), a, b in zip(part, [0, *stops], stops))
+            self.known.update((word, data[a:b]) for word, a, b in zip(keys[start : start + _LINE], [0, *stops], stops))
 
     def _learn_together(self, words: list[bytes]) -> None:
         """One call for several words; the offsets tell whose ids are whose."""
@@ -163,9 +183,12 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encoded(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-    """The ids of each text with the end id behind them."""
-    tail = np.asarray([end_id], dtype="<u4").tobytes()
-    own = encoder(path)
-    return [np.frombuffer(ids + tail, dtype="<u4") for ids in own.encode(texts)]
-
+def encoded(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each with the end id behind them; where each text's ids end)."""
+    ids, ends = encoder(path).encode(texts)
+    behind = ends + np.arange(1, len(ends) + 1)
+    full = np.empty(len(ids) + len(ends), "<u4")
+    own = np.ones(len(full), bool)
+    own[behind - 1] = False
+    full[own], full[behind - 1] = ids, end_id
+    return full, behind
