@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tramline.llm.common import written
 from tramline.llm.token_files import tokenize
 
-#: Bytes of the pieces of one length that share a ranking group, on average.
+#: Bytes and rows of the pieces of one length that share a ranking group, on average.
 RANK_BYTES = 4 << 20
+RANK_ROWS = 500
 
 
 class Slots(NamedTuple):
@@ -122,7 +123,7 @@ def pack(
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit(counts, capacity)
     # At most one row a length.
-    groups = [(length, -(-n * (4 * length + 32) // RANK_BYTES)) for length, n in counts.items()]
+    groups = [(length, max(-(-n // RANK_ROWS), -(-n * 4 * length // RANK_BYTES))) for length, n in counts.items()]
     many = F.broadcast(docs.sparkSession.createDataFrame(groups, "length int, groups long"))
     dealt = pieces.join(many, "length").withColumn("part", F.pmod(F.xxhash64("row"), F.col("groups")))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

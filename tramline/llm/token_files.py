@@ -80,26 +80,44 @@ def _widths(blocks: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(value.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _full_blocks(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, bytes) of full blocks, one behind the other."""
+    low = blocks.min(axis=1)
+    above = blocks - low[:, None]
+    width = _widths(above)
+    high = (above.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype("<u4")
+    row, place = np.nonzero(high)
+    outside = np.bincount(row, minlength=len(blocks))
+    sizes = _HEAD.size + BLOCK // 8 * width + 5 * outside
+    starts = np.cumsum(sizes) - sizes
+    made = np.empty(int(sizes.sum()), np.uint8)
+    heads = np.empty(len(blocks), np.dtype([("low", "<u4"), ("ids", "<u2"), ("width", "u1"), ("outside", "u1")]))
+    heads["low"], heads["ids"], heads["width"], heads["outside"] = low, BLOCK, width, outside
+    made[starts[:, None] + np.arange(_HEAD.size)] = heads.view(np.uint8).reshape(-1, _HEAD.size)
+    for bits in map(int, np.unique(width)):
+        rows = np.flatnonzero(width == bits)
+        made[starts[rows][:, None] + (_HEAD.size + np.arange(BLOCK // 8 * bits))] = _packed(above[rows], bits)
+    nth = np.arange(len(row)) - (np.cumsum(outside) - outside)[row]
+    at = (starts + sizes - 5 * outside)[row]
+    made[at + nth] = place
+    made[(at + outside[row] + 4 * nth)[:, None] + np.arange(4)] = high[row, place].view(np.uint8).reshape(-1, 4)
+    return sizes, made
+
+
 def encode_blocks(ids: np.ndarray) -> tuple[bytes, bytes]:
     """(index, blocks) of a run of unsigned 32-bit ids."""
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
-    parts: list[bytes] = []
     full = ids[: len(ids) // BLOCK * BLOCK].reshape(-1, BLOCK)
-    for group in (*(full[at : at + _TOGETHER] for at in range(0, len(full), _TOGETHER)), ids[full.size :][None, :]):
-        if not group.size:
-            continue
-        low = group.min(axis=1)
-        above = group - low[:, None]
-        width = _widths(above)
-        made: list[bytes] = [b""] * len(group)
-        for bits in np.unique(width):
-            rows = np.flatnonzero(width == bits)
-            packed = _packed(above[rows], int(bits))
-            for row, data in zip(rows, packed):
-                made[row] = _block_bytes(above[row], int(low[row]), int(bits), data.tobytes())
-        parts += made
-    starts = np.cumsum([0, *map(len, parts)][: len(parts)], dtype=np.int64)
-    return starts.astype("<u4").tobytes(), b"".join(parts)
+    parts = [_full_blocks(full[at : at + _TOGETHER]) for at in range(0, len(full), _TOGETHER)]
+    rest = ids[full.size :][None, :]
+    if rest.size:
+        low = rest.min()
+        above = rest - low
+        width = int(_widths(above)[0])
+        last = _block_bytes(above[0], int(low), width, _packed(above, width).tobytes())
+        parts.append((np.asarray([len(last)]), np.frombuffer(last, np.uint8)))
+    sizes = np.concatenate([np.zeros(0, np.int64), *(sizes for sizes, _ in parts)])
+    return (np.cumsum(sizes) - sizes).astype("<u4").tobytes(), b"".join(made.tobytes() for _, made in parts)
 
 
 def decode_block(blocks: bytes, start: int) -> np.ndarray:
@@ -125,19 +143,20 @@ def decode_blocks(index: bytes, blocks: bytes) -> np.ndarray:
     full = starts[:-1]
     out = np.empty((len(starts), BLOCK), np.uint32)
     low = raw[starts[:, None] + np.arange(4)].copy().view("<u4")[:, 0]
-    for bits in np.unique(width[:-1]):
-        rows = np.flatnonzero(width[:-1] == bits)
-        size = BLOCK * int(bits) // 8
-        data = raw[full[rows][:, None] + (_HEAD.size + np.arange(size))]
-        each = np.unpackbits(data, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(bits))
-        values = np.zeros((len(rows), BLOCK), np.uint32)
-        for place in range(int(bits)):
-            values |= each[:, :, place].astype(np.uint32) << np.uint32(place)
-        out[rows] = values
-    for row in np.flatnonzero(outside[:-1]):
-        bits, more = int(width[row]), int(outside[row])
-        at = int(starts[row]) + _HEAD.size + BLOCK * bits // 8
-        out[row, raw[at : at + more]] |= np.frombuffer(blocks, "<u4", more, at + more) << np.uint32(bits)
+    for bits in map(int, np.unique(width[:-1])):
+        size, octets = BLOCK * bits // 8, 2 if bits <= 16 else 4
+        alike = np.flatnonzero(width[:-1] == bits)
+        for rows in (alike[at : at + _TOGETHER] for at in range(0, len(alike), _TOGETHER)):
+            data = raw[full[rows][:, None] + (_HEAD.size + np.arange(size))]
+            whole_bits = np.zeros((len(rows), BLOCK, 8 * octets), np.uint8)
+            whole_bits[:, :, :bits] = np.unpackbits(data, axis=1, bitorder="little").reshape(len(rows), BLOCK, bits)
+            out[rows] = np.packbits(whole_bits.reshape(len(rows), -1), axis=1, bitorder="little").view(f"<u{octets}")
+    more = outside[:-1].astype(np.int64)
+    row = np.repeat(np.arange(len(more)), more)
+    nth = np.arange(len(row)) - (np.cumsum(more) - more)[row]
+    at = (full + _HEAD.size + BLOCK // 8 * width[:-1].astype(np.int64))[row]
+    high = raw[(at + more[row] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0]
+    out[row, raw[at + nth]] |= (high.astype(np.uint64) << width[row].astype(np.uint64)).astype(np.uint32)
     out += low[:, None]
     last = decode_block(blocks, int(starts[-1]))
     return np.concatenate([out[:-1].ravel(), last])

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tramline.llm.words import split_words
+from tramline.llm.words import joined_words, split_words
 
 #: Words a process remembers; at the bound it forgets all and goes on.
 REMEMBERED = 700_000
@@ -55,8 +55,9 @@ class WordEncoder:
         self.letters = {**dict(enumerate(_byte_letters())), 32: " "}
         # Marks that end no added token may be cut off a word's end.
         self.marks = "".join(set(".,!?;:#$%&*") - set("".join(token["content"] for token in added)))
+        # (letters, marks, other) of each of many words with one space between them.
         latin = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
-        self.simple = re.compile(f"([{latin}]+)([{re.escape(self.marks)}]*)").fullmatch
+        self.parted = re.compile(f"(?:([{latin}]+)([{re.escape(self.marks)}]*)|([^ ]+))(?: |$)").findall
         self.direct = self.plain and self._agrees("ProBe") and self._agrees("Épreuveß")
         # The library with the model alone, for words that are spelled already; an id that ends
         # a word tells where the next begins.
@@ -106,11 +107,13 @@ class WordEncoder:
             return np.asarray([one for ids in each for one in ids], "<u4"), np.cumsum([len(ids) for ids in each], dtype=np.int64)
         words, ends = split_words(texts)
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
+        different = joined_words(coded.dictionary, np.asarray([len(coded.dictionary)]))[0].as_py().split()
         if len(self.known) > REMEMBERED:  # frequent words are met, and so stand, first
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
-        self._learn([word for word in different if word not in self.known])
-        found = pa.array(map(self.known.__getitem__, different), pa.large_binary()).take(coded.indices)
+        held = list(map(self.known.get, different))
+        self._learn([word for word, ids in zip(different, held) if ids is None])
+        held = [self.known[word] if ids is None else ids for word, ids in zip(different, held)]
+        found = pa.array(held, pa.large_binary()).take(coded.indices)
         _, offsets, data = found.buffers()
         spans = np.frombuffer(offsets, np.int64, len(found) + 1) // 4
         return np.frombuffer(data or b"", "<u4")[spans[0] : spans[-1]], (spans - spans[0])[ends]
@@ -127,26 +130,27 @@ class WordEncoder:
         library's model; the others take all its steps.
         """
         known, quick, slow, joined = self.known, {}, {}, []
-        for word, text in zip(words, b" ".join(words).decode("utf-8", "replace").split(" ") if words else []):
-            latin = self.direct and self.simple(text)
-            if latin:
-                base, marks = latin.groups()
-            else:
+        if not words:
+            return
+        line = b" ".join(words).decode("utf-8", "replace")
+        for word, (letters, marks, other) in zip(words, self.parted(line)):
+            if other or not self.direct:
+                text = letters + marks + other
                 base = text.rstrip(self.marks)
                 ends = unicodedata.normalize("NFC", base).lower()[-1:]
-                base, marks = (base, text[len(base) :]) if ends.isalnum() else (text, "")
-            if marks:
-                parts = base.encode(), marks.encode()
-                joined.append((word, *parts))
-                if parts[1] not in known:
-                    slow[parts[1]] = None
-                word = parts[0]
-                if word in known:
-                    continue
-            if latin:
-                quick[word] = base
+                marks = text[len(base) :] if ends.isalnum() else ""
+                part = base.encode() if marks else word
+                if part not in known:
+                    slow[part] = None
             else:
-                slow[word] = None
+                part = letters.encode() if marks else word
+                if part not in known:
+                    quick[part] = letters
+            if marks:
+                behind = marks.encode()
+                joined.append((word, part, behind))
+                if behind not in known:
+                    slow[behind] = None
         self._learn_simple(quick)
         slow = list(slow)
         for start in range(0, len(slow), _CHUNK):
