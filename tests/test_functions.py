@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from decimal import Decimal
 from functools import partial
 
 import pytest
@@ -88,6 +89,22 @@ def test_strictness_does_not_depend_on_ansi_mode(spark, frame, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_whole_numbers_of_numbers(spark, frame, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert apply(frame, "double", fx.cast_int_strict, 3.0, -0.0, 2147483647.0) == [3, 0, 2147483647]
+        assert apply(frame, "bigint", fx.cast_int_strict, 3, -7) == [3, -7]
+        for bad in (3.7, float("nan"), float("inf"), 3e9, None):
+            fails(frame, "double", fx.cast_int_strict, bad)
+        fails(frame, "bigint", fx.cast_int_strict, 3_000_000_000)
+        fails(frame, "decimal(4,1)", fx.cast_int_strict, Decimal("3.5"))
+        assert apply(frame, "decimal(4,1)", fx.cast_int_strict, Decimal("3.0")) == [3]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_coordinates(frame):
     def rule(c):
         return fx.nan_to_null(fx.zero_to_null(fx.cast_double_strict(c)))

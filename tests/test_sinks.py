@@ -201,7 +201,7 @@ def test_a_failed_swap_leaves_the_old_table(spark, frame, tmp_path, monkeypatch)
 
     path = str(tmp_path / "swap")
     tables.full_refresh(frame("a int", (1,)), path)
-    real = tables._place
+    real = tables.place_of
 
     class Stubborn:
         def __init__(self, fs):
@@ -220,7 +220,7 @@ def test_a_failed_swap_leaves_the_old_table(spark, frame, tmp_path, monkeypatch)
         spot, fs = real(session, where)
         return spot, made.setdefault("fs", Stubborn(fs))
 
-    monkeypatch.setattr(tables, "_place", place)
+    monkeypatch.setattr(tables, "place_of", place)
     with pytest.raises(OSError):
         tables.full_refresh(frame("a int", (2,)), path)
     monkeypatch.undo()

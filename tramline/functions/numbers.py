@@ -19,8 +19,11 @@ def _stop(message: str, value: Column) -> Column:
 
 
 def cast_int_strict(value: Column) -> Column:
-    """Whole number or an error; null is an error too."""
-    return F.coalesce(value.try_cast("int"), _stop("not an integer", value))
+    """Whole number or an error; null is an error too, and so is a number with a fraction."""
+    whole = value.try_cast("int")
+    # Text with a fraction is no int to try_cast; a number is cut, and shows it when compared.
+    same = F.when(F.typeof(value) == "string", whole.isNotNull()).otherwise(whole.cast("double") == value.try_cast("double"))
+    return F.coalesce(F.when(same, whole), _stop("not an integer", value))
 
 
 def cast_double_strict(value: Column) -> Column:

@@ -6,6 +6,7 @@ from tramline.sinks.conform import (
     accepted,
     align_by_name,
     load_continue,
+    load_report,
     rejected,
     schema_guard,
 )
@@ -31,7 +32,7 @@ from tramline.sinks.tables import (
 
 __all__ = [
     "CommittedTable", "Conflict", "SchemaDrift", "accepted", "align_by_name", "append_load", "complete_days", "full_refresh", "restore",
-    "incremental_append", "ingest_days_if_complete", "late_rows", "load_continue",
+    "incremental_append", "ingest_days_if_complete", "late_rows", "load_continue", "load_report",
     "materialize", "read_if_present", "rejected", "replace_by_date", "replace_days",
     "schema_guard", "write_date_folders", "write_json", "write_parquet", "write_parquet_chunked",
 ]

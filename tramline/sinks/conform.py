@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     DataType,
@@ -15,7 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-_REJECTED = "_rejected_columns"
+_REJECTED, _ORIGIN = "_rejected_columns", "_origin"
 
 
 class SchemaDrift(Exception):
@@ -62,11 +64,15 @@ def align_by_name(rows: DataFrame, target: StructType) -> DataFrame:
     return rows.select(*columns)
 
 
-def load_continue(rows: DataFrame, target: StructType) -> DataFrame:
+def load_continue(rows: DataFrame, target: StructType, origin: Sequence[str] = ()) -> DataFrame:
     """As :func:`align_by_name`, but a bad value marks its row instead of stopping the job.
 
-    One pass gives both outcomes; read them with :func:`accepted` and :func:`rejected`.
+    One pass gives all outcomes; read them with :func:`accepted`, :func:`rejected` and
+    :func:`load_report`. ``origin`` names columns that say where a row comes from (a file, a place
+    in it); they stay aside, in ``_origin``, and are no part of the table.
     """
+    aside = [F.struct(*(f"`{name}`" for name in origin)).alias(_ORIGIN)] if origin else []
+    whole, rows = rows, rows.drop(*origin)
     columns, faults = [], []
     for field, source in _sources(rows, target):
         if source is None:
@@ -75,13 +81,13 @@ def load_continue(rows: DataFrame, target: StructType) -> DataFrame:
         value = _fitted(source, rows.select(source).schema[0].dataType, field.dataType)
         columns.append(value.alias(field.name))
         faults.append(F.when(source.isNotNull() & value.isNull(), F.lit(field.name)))
-    raw = F.to_json(F.struct(*rows.columns)).alias("_raw")
-    return rows.select(*columns, F.array_compact(F.array(*faults)).alias(_REJECTED), raw)
+    raw = F.to_json(F.struct(*(f"`{name}`" for name in rows.columns))).alias("_raw")
+    return whole.select(*columns, F.array_compact(F.array(*faults)).alias(_REJECTED), raw, *aside)
 
 
 def accepted(loaded: DataFrame) -> DataFrame:
     """Rows of a continued load whose every value fits."""
-    return loaded.where(F.size(_REJECTED) == 0).drop(_REJECTED, "_raw")
+    return loaded.where(F.size(_REJECTED) == 0).drop(_REJECTED, "_raw", _ORIGIN)
 
 
 def rejected(loaded: DataFrame) -> DataFrame:
@@ -89,6 +95,31 @@ def rejected(loaded: DataFrame) -> DataFrame:
     return loaded.where(F.size(_REJECTED) > 0).select("_raw", _REJECTED)
 
 
+def load_report(loaded: DataFrame) -> DataFrame:
+    """(file, status, rows_parsed, rows_loaded, errors_seen, first_error, first_error_column, first_error_row) by file.
+
+    ``loaded`` comes from :func:`load_continue` with ``origin=["file", "at"]``: the file and an
+    ascending place in it. ``status`` is loaded, partially_loaded or load_failed. Counts and the
+    first error are partial minima and sums before the only shuffle, so a large file is no single
+    task's work. Judge once and write it, then read both the rows and the report from that table.
+    """
+    bad = F.size(_REJECTED) > 0
+    first = F.min(F.when(bad, F.struct(F.col("_origin.at").alias("at"), F.col(_REJECTED).alias("columns"), F.col("_raw").alias("raw"))))
+    counts = loaded.groupBy(F.col("_origin.file").alias("file")).agg(
+        F.count("*").alias("rows_parsed"), F.count(F.when(~bad, 1)).alias("rows_loaded"),
+        F.sum(F.size(_REJECTED)).alias("errors_seen"), first.alias("first"),
+    )
+    status = (
+        F.when(F.col("first").isNull(), "loaded").when(F.col("rows_loaded") > 0, "partially_loaded").otherwise("load_failed")
+    )
+    column = F.col("first.columns")[0]
+    return counts.select(
+        "file", status.alias("status"), "rows_parsed", "rows_loaded", "errors_seen",
+        F.concat(column, F.lit(": value does not fit")).alias("first_error"),
+        column.alias("first_error_column"), F.col("first.raw").alias("first_error_row"),
+    )
+
+
 def schema_guard(rows: DataFrame, target: StructType) -> DataFrame:
     """The batch in the target's column order; any difference in names or types raises."""
     have = {field.name: field.dataType for field in rows.schema}

@@ -12,7 +12,7 @@ from tramline.sources.files import (
     scan_parquet_day,
     scan_xml_rows,
 )
-from tramline.sources.paging import page_plan
+from tramline.sources.paging import missing_pages, page_plan
 from tramline.sources.payloads import (
     array_position_seq,
     envelope_totals,
@@ -34,7 +34,7 @@ from tramline.sources.ranges import (
 
 __all__ = [
     "IncompleteLanding", "LandedDay", "MissingDays", "RAW_SOURCES", "absent_days", "array_position_seq",
-    "backfill_range", "date_hour_spine", "envelope_totals", "full_scan", "landed_days", "landing_audit",
+    "backfill_range", "date_hour_spine", "envelope_totals", "full_scan", "landed_days", "landing_audit", "missing_pages",
     "page_plan", "previous_month", "previous_month_bounds", "promised_by_day", "read_range", "register_sources",
     "require_complete", "broken_files", "scan_glob", "scan_hourly_json", "scan_json_rows", "scan_parquet_day",
     "scan_xml_rows", "unwrap_json_envelope", "scan_xml_pages", "unwrap_json_list", "unwrap_xml", "widens",

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -34,6 +35,7 @@ from tramline.session import place_of
 
 #: Footers of so many days are looked at at once; each is a job over the day's files.
 _AT_ONCE = 8
+_UNREADABLE = (PySparkException, Py4JJavaError)
 _WHOLE = [ByteType(), ShortType(), IntegerType(), LongType()]
 _DIGITS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
 
@@ -79,9 +81,11 @@ def _misfit(have: StructType, want: StructType, optional: Sequence[str]) -> str
 
 
 def _reason(error: Exception) -> str:
-    """The first line of what Spark says, and the file it names."""
-    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
-    return (lines or [type(error).__name__])[0][:300]
+    """What Spark says of the file, without its stack."""
+    said = error.java_exception if isinstance(error, Py4JJavaError) else None
+    while said is not None and said.getCause() is not None:
+        said = said.getCause()
+    return (str(error) if said is None else said.getMessage() or said.toString()).splitlines()[0][:300]
 
 
 def _footers(spark: SparkSession, path: str) -> str:
@@ -98,12 +102,12 @@ def _files(spark: SparkSession, folder: str) -> list[str]:
 def _look(spark: SparkSession, day: date, folder: str) -> LandedDay:
     try:
         return LandedDay(day, ((folder, _footers(spark, folder)),))
-    except PySparkException as error:
+    except _UNREADABLE:
         # Files that differ are told apart; a broken one is met again here.
         try:
             return LandedDay(day, tuple((path, _footers(spark, path)) for path in _files(spark, folder)))
-        except PySparkException as again:
-            return LandedDay(day, fault=_reason(again) or _reason(error))
+        except _UNREADABLE as error:
+            return LandedDay(day, fault=_reason(error))
 
 
 def landed_days(spark: SparkSession, landing: str, column: str, start: date, end: date) -> list[LandedDay]:

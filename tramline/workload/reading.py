@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tramline import schemas, sinks, sources
 from tramline.constants import BIKE_USAGE_SERVICE
@@ -114,6 +115,32 @@ def backfill_range(t: Tables) -> DataFrame:
     return sources.backfill_range(orders, "o_orderdate", date(1997, 5, 1), date(1998, 5, 31))
 
 
+_NARROW, _TEXT_DAY, _BROKEN_DAY = "dayofmonth(usage_date) % 3 = 0", date(2024, 1, 5), date(2024, 1, 9)
+
+
+@query(
+    "backfill_range_by_schema",
+    f"""
+    SELECT event_id, CAST(event_id % 1000 AS BIGINT) AS boardings, CAST(ts AS DATE) AS usage_date
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-16'
+        AND CAST(ts AS DATE) NOT IN (DATE '{_TEXT_DAY}', DATE '{_BROKEN_DAY}')
+    """,
+)
+def backfill_range_by_schema(t: Tables) -> DataFrame:
+    """Days of int and of bigint counts, one of text counts and one with a broken file."""
+    path = t.scratch("range")
+    rows = event_days(t, "event_id", (F.col("event_id") % 1000).alias("boardings"))
+    kinds = {"int": _NARROW, "bigint": f"NOT {_NARROW}"}
+    for kind, days in kinds.items():
+        part = rows.where(F.expr(days) & (F.col("usage_date") != F.lit(_TEXT_DAY)))
+        part.withColumn("boardings", F.col("boardings").cast(kind)).write.mode("append").partitionBy("usage_date").parquet(path)
+    text = rows.where(F.col("usage_date") == F.lit(_TEXT_DAY)).withColumn("boardings", F.col("boardings").cast("string"))
+    text.write.mode("append").partitionBy("usage_date").parquet(path)
+    t["region"].limit(1).select("r_name").write.mode("append").text(f"{path}/usage_date={_BROKEN_DAY}")
+    wanted = StructType([StructField("event_id", t["events"].schema["event_id"].dataType), StructField("boardings", LongType())])
+    return sources.read_range(t.spark, path, "usage_date", date(2024, 1, 3), date(2024, 1, 16), wanted)[0]
+
+
 @query(
     "previous_month",
     """
@@ -195,6 +222,37 @@ def page_plan(t: Tables) -> DataFrame:
     return sources.page_plan(totals, page_rows=100)
 
 
+_LANDED = "page % 4 <> 1 AND NOT (dayofmonth(usage_date) % 5 = 0) AND NOT (dayofmonth(usage_date) % 3 = 0 AND page = pages - 1)"
+
+
+@query(
+    "missing_pages",
+    """
+    WITH totals AS (SELECT CAST(ts AS DATE) AS usage_date, CAST(hour(ts) // 6 AS INTEGER) AS quarter, count(*) AS total
+        FROM events GROUP BY 1, 2),
+    numbers AS (SELECT usage_date, quarter, total, unnest(range(1, total + 1)) AS row FROM totals),
+    pages AS (SELECT *, (row - 1) // 10 AS page, (total + 9) // 10 AS pages FROM numbers),
+    missing AS (SELECT usage_date, quarter, row,
+            row - row_number() OVER (PARTITION BY usage_date, quarter ORDER BY row) AS island
+        FROM pages WHERE page % 4 = 1 OR day(usage_date) % 5 = 0 OR (day(usage_date) % 3 = 0 AND page = pages - 1))
+    SELECT usage_date, quarter, min(row) AS start_index, max(row) AS end_index
+    FROM missing GROUP BY usage_date, quarter, island
+    """,
+)
+def missing_pages(t: Tables) -> DataFrame:
+    """Every fourth page, the last pages of some days and all pages of others never came; some came twice."""
+    keys = ["usage_date", "quarter"]
+    seen = event_days(t, F.expr("CAST(hour(ts) DIV 6 AS INT)").alias("quarter"))
+    totals = seen.groupBy(*keys).agg(F.count("*").alias("total"))
+    pages = sources.page_plan(totals, page_rows=10).withColumns(
+        {"page": F.expr("(start_index - 1) DIV 10"), "pages": F.expr("(total + 9) DIV 10")}
+    )
+    came = pages.where(_LANDED).select(*keys, "start_index", "end_index")
+    # Asked for again from its middle on: overlaps, and the same range twice.
+    again = came.where("start_index % 30 = 1").withColumn("start_index", F.expr("start_index + (end_index - start_index) DIV 2"))
+    return sources.missing_pages(totals, came.union(again).union(again), keys)
+
+
 _PROMISED = """CASE usage_time WHEN 7 THEN n + 3 WHEN 8 THEN n - 1 WHEN 9 THEN NULL ELSE n END"""
 
 
