@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import STOPPED, plan_of, values
 from tramline import plans, schemas, sources
+from tramline.operators import one_set
 from tramline.functions import surrogate_key
 from tramline.sources.audit import IncompleteLanding
 
@@ -382,6 +383,22 @@ def test_bike_history(spark, loaded):
     assert values(old.select("station_id", "station_name", "calories")) == [("102", "A.B", 0.0), ("102", "A.B", 3.0)]
 
 
+def test_dimensions_read_each_usage_table_once(spark, star):
+    """All keys come from one scan, and the dimensions are those of the usage rows."""
+    for kind, sets in plans.USAGE_SETS.items():
+        keys = plans.usage_keys(kind, star[kind])
+        plan = plan_of(keys)
+        physical = plan[plan.index("== Physical Plan ==") :]
+        assert physical.count("Scan") == 1 and physical.count("Expand") == 1
+        for place, columns in enumerate(sets):
+            assert values(one_set(keys, place, *columns)) == values(star[kind].select(*columns).distinct())
+    keys = {kind: plans.usage_keys(kind, star[kind]) for kind in plans.USAGE_SETS}
+    made = plans.dimensions(keys, {name: rows for name, rows in star.items() if name.endswith("_locations")})
+    assert values(made["dim_date"]) == values(plans.dim_date(star["bike"], star["bus"], star["subway"]))
+    assert values(made["dim_user"]) == values(plans.dim_user(star["bike"]))
+    assert values(made["dim_station"]) == values(plans.dim_station(**star))
+
+
 def test_increment_filters_the_usage_scan(spark, loaded):
     """The stamp literal reaches the Parquet scan below the joins; usage rows are not shuffled."""
     house, _ = loaded

@@ -21,6 +21,7 @@ from tramline.functions.numbers import (
     coalesce_zero,
     coerce_double,
     coerce_int,
+    coerce_int32,
     coerce_int_or_zero,
     falsy_number,
     falsy_text,

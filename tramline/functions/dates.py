@@ -15,7 +15,9 @@ def to_date_or_null(text: Column) -> Column:
     """A whole ``yyyyMMdd`` or ``yyyy-M-d``, the latter with an optional time; all else is null."""
     shown = text.cast("string")
     compact = F.try_to_date(F.trim(shown), "yyyyMMdd")
-    return F.when(shown.rlike(_COMPACT), compact).when(shown.rlike(_DASHED), text.try_cast("date"))
+    # Only text of eight letters can be compact, so most text meets one pattern.
+    short = (F.length(F.trim(shown)) == 8) & shown.rlike(_COMPACT)
+    return F.when(short, compact).when(shown.rlike(_DASHED), text.try_cast("date"))
 
 
 def to_date_strict(text: Column) -> Column:

@@ -21,13 +21,16 @@ from tramline.operators.filters import (
 from tramline.operators.joins import attach, fits, join_distinct, skew_join
 from tramline.operators.sets import (
     distinct_pairs,
+    distinct_sets,
     group_ordinals,
+    one_set,
     sample_head,
     union_all_conformed,
     union_distinct,
 )
 
 __all__ = [
+    "distinct_sets", "one_set",
     "attach", "audit_stamp", "distinct_pairs", "drop_if_exists", "drop_strict", "filter_hwm",
     "filter_in_list", "filter_not_like", "filter_not_null", "fits", "group_ordinals",
     "high_water_mark", "join_distinct", "literal_columns", "project_columns", "rename_map",

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def distinct_pairs(rows: DataFrame, *columns: str) -> DataFrame:
@@ -17,6 +17,24 @@ def group_ordinals(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(*columns).dropDuplicates()
 
 
+def distinct_sets(rows: DataFrame, *sets: Sequence[str]) -> DataFrame:
+    """The distinct combinations of several column lists, by one read of ``rows``.
+
+    One row per combination and list, with the list's place in ``_set`` and nulls for the columns
+    of other lists; :func:`one_set` takes a list out again. Combined on the map side.
+    """
+    columns = list(dict.fromkeys(name for one in sets for name in one))
+    numbers = [sum(1 << (len(columns) - 1 - at) for at, name in enumerate(columns) if name not in one) for one in sets]
+    found = rows.groupingSets([list(one) for one in sets], *columns).agg(F.grouping_id().alias("_id"))
+    place = F.array_position(F.array(*(F.lit(number).cast("bigint") for number in numbers)), F.col("_id").cast("bigint"))
+    return found.withColumn("_set", (place - 1).cast("int")).drop("_id")
+
+
+def one_set(found: DataFrame, place: int, *columns: str) -> DataFrame:
+    """The combinations of one list of :func:`distinct_sets`."""
+    return found.where(F.col("_set") == place).select(*columns)
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """``UNION`` by position of frames whose columns already have the same types."""
     first = frames[0].dtypes

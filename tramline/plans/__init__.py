@@ -10,7 +10,7 @@ from tramline.plans.clean import (
     clean_metro_station,
     clean_subway_usage,
 )
-from tramline.plans.dims import dim_date, dim_station, dim_user, fan_out
+from tramline.plans.dims import USAGE_SETS, dim_date, dim_station, dim_user, dimensions, fan_out, usage_keys
 from tramline.plans.facts import (
     fact_bike_usage,
     fact_bus_usage,
@@ -31,6 +31,7 @@ from tramline.plans.staging import (
 from tramline.plans.warehouse import Warehouse
 
 __all__ = [
+    "USAGE_SETS", "dimensions", "usage_keys",
     "Warehouse", "clean_bike_station", "clean_bike_usage", "clean_bike_usage_bulk",
     "clean_bike_usage_strict", "clean_bus_stop", "clean_bus_usage", "clean_metro_station",
     "clean_subway_usage", "dim_date", "dim_station", "dim_user", "fact_bike_usage",

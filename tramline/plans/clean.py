@@ -29,7 +29,7 @@ def clean_bike_usage(raw: DataFrame, run: datetime) -> DataFrame:
         drop_strict(raw, schemas.PAGING_COLUMNS), list(schemas.BIKE_USAGE_NAMES.values())
     )
     whole = {
-        name: fx.checked_int(fx.coerce_int(F.col(name)))
+        name: fx.coerce_int32(F.col(name))
         for name in ("usage_time", "usage_count", "duration")
     }
     real = {
@@ -135,8 +135,8 @@ def clean_bus_usage(raw: DataFrame, run: datetime) -> DataFrame:
     typed = rename_map(raw, schemas.BUS_USAGE_NAMES).withColumns(
         {
             "usage_date": fx.to_date_strict(F.col("usage_date")),
-            "boarding_count": fx.checked_int(fx.coerce_int(F.col("boarding_count"))),
-            "getoff_count": fx.checked_int(fx.coerce_int(F.col("getoff_count"))),
+            "boarding_count": fx.coerce_int32(F.col("boarding_count")),
+            "getoff_count": fx.coerce_int32(F.col("getoff_count")),
         }
     )
     return audit_stamp(typed, run)

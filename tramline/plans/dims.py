@@ -6,6 +6,8 @@ days, segments and stations, not usage rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tramline import constants as const, functions as fx
@@ -14,7 +16,9 @@ from tramline.operators.filters import filter_in_list
 from tramline.operators.joins import BROADCAST_ROWS, attach, join_distinct
 from tramline.operators.sets import (
     distinct_pairs,
+    distinct_sets,
     group_ordinals,
+    one_set,
     union_all_conformed,
     union_distinct,
 )
@@ -30,6 +34,34 @@ STATION_COLUMNS = {
 }
 
 
+#: What the dimensions need of each usage table: its days, its segments, its stations.
+USAGE_SETS = {
+    "bike": (["usage_date"], ["station_id", "station_name"], ["gender", "age_group"]),
+    "bus": (["usage_date"], ["node_id"]),
+    "subway": (["usage_date"], ["line", "station"]),
+}
+
+
+def usage_keys(kind: str, usage: DataFrame) -> DataFrame:
+    """All a usage table contributes to the dimensions, by one read of it. Keep it as a table."""
+    return distinct_sets(usage, *USAGE_SETS[kind])
+
+
+def dimensions(keys: Mapping[str, DataFrame], locations: Mapping[str, DataFrame], dedupe: bool = False) -> dict[str, DataFrame]:
+    """The three dimensions from :func:`usage_keys` of each usage table, and the locations."""
+    part = {
+        (kind, place): one_set(keys[kind], place, *columns)
+        for kind, sets in USAGE_SETS.items()
+        for place, columns in enumerate(sets)
+    }
+    stations = {kind: part[kind, 1] for kind in USAGE_SETS}
+    return {
+        "dim_date": dim_date(*(part[kind, 0] for kind in USAGE_SETS)),
+        "dim_user": dim_user(part["bike", 2]),
+        "dim_station": dim_station(**stations, **locations, dedupe=dedupe),
+    }
+
+
 def bike_number(station_id: Column) -> Column:
     """The number behind a bike station id: ids are text, but ``0102`` and ``102`` are one."""
     return station_id.try_cast("bigint")

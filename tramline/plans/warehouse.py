@@ -270,10 +270,16 @@ class Warehouse:
     def build_dim_station(self, dedupe: bool = False) -> None:
         self._refresh("dim_station", dims.dim_station(**self.staged(), dedupe=dedupe))
 
-    def build_dimensions(self) -> None:
-        self.build_dim_date()
-        self.build_dim_user()
-        self.build_dim_station()
+    def build_dimensions(self, dedupe: bool = False) -> None:
+        """All three dimensions; each usage table is read once, into the keys it contributes."""
+        src, keys = self.staged(), {}
+        for kind in dims.USAGE_SETS:
+            place = scratch_path(self.spark, f"{kind}-keys")
+            dims.usage_keys(kind, src[kind]).write.parquet(place)
+            keys[kind] = self.spark.read.parquet(place)
+        locations = {name: rows for name, rows in src.items() if name.endswith("_locations")}
+        for name, rows in dims.dimensions(keys, locations, dedupe).items():
+            self._refresh(name, rows)
 
     def append_fact_bike_usage(self) -> str | None:
         rows = facts.fact_bike_usage(

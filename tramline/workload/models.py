@@ -160,6 +160,32 @@ def dim_station(t: Tables) -> DataFrame:
     return plans.dim_station(**_staged(t))
 
 
+def _from_keys(t: Tables, *names: str) -> list[DataFrame]:
+    """Dimensions as tables, from one read of each usage table."""
+    src = _staged(t)
+    keys = {kind: t.kept(f"{kind}_keys", plans.usage_keys(kind, src[kind])) for kind in plans.USAGE_SETS}
+    made = plans.dimensions(keys, {name: rows for name, rows in src.items() if name.endswith("_locations")})
+    return [t.kept(name, made[name]) for name in names]
+
+
+@query("dim_date_from_keys", mock.STAGING_CTES + mock.DIM_DATE_SQL)
+def dim_date_from_keys(t: Tables) -> DataFrame:
+    """The days of all usage, from the pass that also finds its segments and stations."""
+    return _from_keys(t, "dim_date")[0]
+
+
+@query("dim_station_from_keys", mock.STAGING_CTES + mock.DIM_STATION_SQL)
+def dim_station_from_keys(t: Tables) -> DataFrame:
+    """The stations, from the pass that also finds days and segments."""
+    return _from_keys(t, "dim_station")[0]
+
+
+@query("dim_user_from_keys", mock.STAGING_CTES + mock.DIM_USER_SQL)
+def dim_user_from_keys(t: Tables) -> DataFrame:
+    """The segments, null ones included, although other lists leave those columns null too."""
+    return _from_keys(t, "dim_user")[0]
+
+
 # --- facts ----------------------------------------------------------------------------------
 
 
@@ -176,12 +202,7 @@ def dim_station(t: Tables) -> DataFrame:
 )
 def fact_bike_usage(t: Tables) -> DataFrame:
     src = _staged(t)
-    return plans.fact_bike_usage(
-        src["bike"],
-        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        t.kept("dim_station", plans.dim_station(**src)),
-        t.kept("dim_user", plans.dim_user(src["bike"])),
-    )
+    return plans.fact_bike_usage(src["bike"], *_from_keys(t, "dim_date", "dim_station", "dim_user"))
 
 
 @query(
@@ -193,11 +214,7 @@ def fact_bike_usage(t: Tables) -> DataFrame:
 )
 def fact_bus_usage(t: Tables) -> DataFrame:
     src = _staged(t)
-    return plans.fact_bus_usage(
-        src["bus"],
-        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        t.kept("dim_station", plans.dim_station(**src)),
-    )
+    return plans.fact_bus_usage(src["bus"], *_from_keys(t, "dim_date", "dim_station"))
 
 
 @query(
@@ -210,8 +227,4 @@ def fact_bus_usage(t: Tables) -> DataFrame:
 )
 def fact_subway_usage(t: Tables) -> DataFrame:
     src = _staged(t)
-    return plans.fact_subway_usage(
-        src["subway"],
-        t.kept("dim_date", plans.dim_date(src["bike"], src["bus"], src["subway"])),
-        t.kept("dim_station", plans.dim_station(**src)),
-    )
+    return plans.fact_subway_usage(src["subway"], *_from_keys(t, "dim_date", "dim_station"))

@@ -381,29 +381,32 @@ SELECT d AS date_id,
     CAST(day(d) AS INTEGER) AS day_of_month, {WEEKDAY_SQL.format(day="d")} AS day_of_week_kr,
     dayofweek(d) IN (0, 6) AS is_weekend, CAST(quarter(d) AS INTEGER) AS quarter,
     strftime(d, '%Y-%m') AS year_month
-FROM (SELECT usage_date AS d FROM bike UNION SELECT usage_date FROM bus
-      UNION SELECT CAST(usage_date AS DATE) FROM subway) days"""
+FROM (SELECT d FROM (
+        SELECT usage_date AS d FROM bike GROUP BY ALL
+        UNION ALL SELECT usage_date FROM bus GROUP BY ALL
+        UNION ALL SELECT CAST(usage_date AS DATE) FROM subway GROUP BY ALL) seen
+    GROUP BY d) days"""
 DIM_USER_SQL = f"""
 SELECT {md5_key_sql("gender", "age_group")} AS user_id, gender, age_group
-FROM (SELECT DISTINCT gender, age_group FROM bike) u"""
+FROM (SELECT gender, age_group FROM bike GROUP BY ALL) segments"""
 _lines_sql = ", ".join(f"'{line}'" for line in const.SUBWAY_LINES)
+# Each side is first reduced to its distinct keys; then places meet the keys that were used.
 DIM_STATION_SQL = f"""
-SELECT {md5_key_sql("source_station_id", "station_name")} AS station_id, *
+SELECT {md5_key_sql("source_station_id", "station_name")} AS station_id, source_station_id, station_name,
+    station_type, address, '{const.CITY}' AS city, latitude, longitude
 FROM (
-    SELECT DISTINCT u.station_id AS source_station_id, u.station_name, 'BIKE' AS station_type,
-        l.address1 AS address, '{const.CITY}' AS city, l.latitude, l.longitude
-    FROM bike u JOIN bike_loc l
-        ON TRY_CAST(u.station_id AS BIGINT) = TRY_CAST(l.station_id AS BIGINT)
-    UNION ALL
-    SELECT DISTINCT u.node_id, l.stop_name_kr, 'BUS', CAST(NULL AS VARCHAR), '{const.CITY}',
-        l.latitude, l.longitude
-    FROM bus u JOIN bus_loc l ON u.node_id = l.node_id
-    UNION ALL
-    SELECT u.line || ' - ' || u.station, u.station, 'SUBWAY', CAST(NULL AS VARCHAR),
-        '{const.CITY}', l.latitude, l.longitude
-    FROM (SELECT line, station FROM subway GROUP BY 1, 2) u JOIN subway_loc l
-        ON u.line = l.line_no || '{const.LINE_SUFFIX}' AND u.station = l.station_name
-        AND u.line IN ({_lines_sql})
+    WITH rented AS (SELECT station_id, station_name, TRY_CAST(station_id AS BIGINT) AS number FROM bike GROUP BY ALL),
+    docks AS (SELECT TRY_CAST(station_id AS BIGINT) AS number, address1, latitude, longitude FROM bike_loc GROUP BY ALL),
+    stops AS (SELECT node_id, stop_name_kr, latitude, longitude FROM bus_loc GROUP BY ALL),
+    platforms AS (SELECT line_no || '{const.LINE_SUFFIX}' AS line, station_name AS station, latitude, longitude FROM subway_loc)
+    SELECT 'BIKE' AS station_type, station_id AS source_station_id, station_name, address1 AS address, latitude, longitude
+    FROM docks JOIN rented USING (number)
+    UNION ALL BY NAME
+    SELECT 'BUS' AS station_type, node_id AS source_station_id, stop_name_kr AS station_name, latitude, longitude
+    FROM stops WHERE node_id IN (SELECT node_id FROM bus)
+    UNION ALL BY NAME
+    SELECT 'SUBWAY' AS station_type, line || ' - ' || station AS source_station_id, station AS station_name, latitude, longitude
+    FROM platforms SEMI JOIN subway USING (line, station) WHERE line IN ({_lines_sql})
 ) s"""
 STAR_CTES = f"""{STAGING_CTES},
 dates AS ({DIM_DATE_SQL}),
