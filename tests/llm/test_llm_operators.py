@@ -226,7 +226,7 @@ def brute_repeats(rows, depth):
     return {doc: (len(t.split()), " ".join(w for n, w in enumerate(t.split()) if n not in removed.get(doc, ()))) for doc, t in rows}
 
 
-@pytest.mark.parametrize("crowded", [10_000, 1])
+@pytest.mark.parametrize("crowded", [2_000, 3, 1])
 def test_repeats(spark, docs, monkeypatch, crowded):
     monkeypatch.setattr(substrings, "CROWDED", crowded)
     own = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
@@ -240,6 +240,69 @@ def test_repeats(spark, docs, monkeypatch, crowded):
     assert substrings.without_repeats(own.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("longest", [1, 2, 8, 16, 20, 33])
+def test_suffix_tree(longest):
+    """Leaves in the order of their words, and what neighbours share, against comparison."""
+    rng = np.random.default_rng(longest)
+    for _ in range(40):
+        stretches = [rng.integers(0, rng.integers(1, 4), rng.integers(1, longest + 1)).tolist() for _ in range(rng.integers(1, 12))]
+        words, starts = [], []
+        for n, stretch in enumerate(stretches):
+            starts += range(len(words), len(words) + len(stretch))
+            words += [*stretch, 1_000 + n]
+        tree = substrings.suffix_tree(np.array(words), np.array(starts), longest)
+        told = [words[starts[leaf]:] for leaf in tree.leaves]
+        assert told == sorted(told)
+        for left, right, shared in zip(told, told[1:], tree.shared[1:]):
+            alike = next(n for n, (a, b) in enumerate(zip(left, right)) if a != b)
+            assert shared == alike or (alike >= 2 * longest - 1)
+        for depth in {1, longest}:
+            node = tree.below(depth)
+            assert [tuple(t[:depth]) for t in told] == sorted(tuple(t[:depth]) for t in told)
+            for a, b, x, y in zip(told, told[1:], node, node[1:]):
+                assert (x == y) == (a[:depth] == b[:depth])
+
+
+@pytest.mark.parametrize("depth,crowded", [(8, 1), (9, 2_000), (16, 4), (20, 5), (40, 2), (40, 2_000)])
+def test_repeats_of_any_depth(spark, monkeypatch, depth, crowded):
+    """Few different words, so windows recur in every way: within a text, across texts, overlapping."""
+    monkeypatch.setattr(substrings, "CROWDED", crowded)
+    rng = np.random.default_rng(depth + crowded)
+    blocks = [" ".join(f"v{n}" for n in rng.integers(0, 4, int(size))) for size in rng.integers(3, 60, 12)]
+    texts = [" ".join(rng.choice(blocks, int(n))) for n in rng.integers(0, 6, 60)]
+    texts += [texts[3], texts[4], blocks[0] + " " + " ".join(["x"] * 90), " ".join(["x"] * 50)]
+    rows = written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "own")
+    got = substrings.without_repeats(rows, depth).select("doc_id", "cut.*").collect()
+    assert {r.doc_id: (r.n_words, r.kept) for r in got} == brute_repeats(list(enumerate(texts)), depth)
+
+
+def test_depths_that_cannot_be_told(spark):
+    rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    for depth in (5, 300):
+        with pytest.raises(ValueError):
+            substrings.without_repeats(rows, depth)
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+def test_equal_rows_cost_no_more_than_their_number(spark, monkeypatch, doc):
+    """Four times the equal rows: at most five times the stretches, and one row a document among them."""
+    passage = " ".join(f"q{n}" for n in range(60))
+    counts = []
+
+    def counting(rows, label):
+        kept = written(rows, label)
+        if label == "stretches":
+            counts.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(substrings, "written", counting)
+    for many in (50, 200):
+        rows = spark.createDataFrame([(doc, passage)] * many + [(8, passage + " end")] * many, "doc_id long, text string")
+        got = [r.n_removed for r in substrings.without_repeats(rows).select("cut.*").collect()]
+        assert sorted(got) == [0] * many + [60] * many
+    assert 0 < counts[1] <= 5 * counts[0] and counts[1] < 60
+
+
 def test_repeated_rows_are_one_document(spark):
     text = " ".join(f"a{n}" for n in range(25))
     rows = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + " end")], "doc_id long, text string")
