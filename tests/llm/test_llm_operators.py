@@ -602,21 +602,89 @@ def test_folding_and_exceptions():
 # --- pipeline
 
 
-def test_pipeline_is_its_operators(spark):
-    folder = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    columns = docs.columns
-    for name, stage in corpus_pipeline.STAGES:
-        after = written(stage(spark, docs, folder), name)
-        if name == "packing":
-            assert {r.doc_id for r in after.collect()} == {r.doc_id for r in docs.collect()}
-        else:
-            assert after.columns == columns and after.count() <= docs.count()
-            assert after.join(docs, "doc_id", "left_anti").count() == 0
-            if name == "near_duplicates":
-                prints = [brute_fingerprint(text) for _, text in pairs(docs)]
-                assert after.count() == len(set(reach(prints, lambda a, b: (a ^ b).bit_count() <= 2)))
-        docs = after
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """The small tables, with odd texts, copies, repeated rows, a null id and shared passages among the documents."""
+    folder, given = tmp_path_factory.mktemp("corpus"), "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{given}/documents.parquet")
+    passage = " ".join(f"passage{n}" for n in range(30))
+    asked = spark.read.parquet(f"{given}/benchmark.parquet").filter("text is not null").orderBy("item_id").first().text
+    plain = docs.filter("length(text) > 400").orderBy("doc_id").first().text
+    texts = [*ODD, plain, plain, f"{plain} {passage}", f"{plain[:300]} {passage} {plain[300:]}", f"{plain} {asked}", passage, passage + " " + passage]
+    more = [(10_000 + n, text) for n, text in enumerate(texts)] + [(None, plain + " null"), (10_003, texts[3]), (10_008, "two texts of one id " * 9)]
+    extra = spark.createDataFrame(more, "doc_id long, text string")
+    extra = extra.select("doc_id", "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    docs.unionByName(extra.select(docs.columns)).coalesce(2).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{given}/{name}.parquet").coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def brute_pipeline(spark, folder):
+    """The pipeline's rows by plain loops behind the trained scores: (doc_id, ids) of every packed document."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    usable = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    model = quality.train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"), usable)
+    docs = [(doc, text) for doc, text in docs if model.score(text) >= 0.3]
+    docs.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1] or ""))
+    prints = [brute_fingerprint(text) for _, text in docs]
+    kept, seen = [], set()
+    for group, row in zip(reach(prints, lambda a, b: (a ^ b).bit_count() <= 2), docs):
+        if group not in seen:
+            seen.add(group)
+            kept.append(row)
+    lost, runs = {}, set()
+    for at, (_, text) in enumerate(kept):
+        words = (text or "").encode().split()
+        for start in range(len(words) - 19):
+            run = tuple(words[start : start + 20])
+            lost.setdefault(at, set()).update(range(start, start + 20)) if run in runs else runs.add(run)
+    cut = []
+    for at, (doc, text) in enumerate(kept):
+        words = (text or "").encode().split()
+        left = [word for n, word in enumerate(words) if n not in lost.get(at, ())]
+        if len(left) == len(words):
+            cut.append((doc, text))
+        elif left:
+            cut.append((doc, b" ".join(left).decode()))
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    grams = set()
+    for (item,) in spark.read.parquet(f"{folder}/benchmark.parquet").select("text").collect():
+        words = pattern.findall((item or "").translate(lower))
+        size = min(len(words), 10)
+        grams |= {tuple(words[n : n + size]) for n in range(len(words) - size + 1)} if size else set()
+    sizes, clean = {len(gram) for gram in grams}, []
+    for doc, text in cut:
+        words = pattern.findall((text or "").translate(lower))
+        if not any(tuple(words[n : n + size]) in grams for size in sizes for n in range(len(words) - size + 1)):
+            clean.append((doc, text))
+    library = Tokenizer.from_file(VOCABULARY)
+    return [(doc, library.encode(text or "", add_special_tokens=False).ids + [1]) for doc, text in clean]
+
+
+def test_pipeline_is_that_of_brute_force(spark, corpus):
+    rows = corpus_pipeline.run(spark, corpus).collect()
+    pieces = sorted(
+        (repr(doc), at // 4096, min(4096, len(ids) - at), zlib.crc32(np.array(ids[at : at + 4096], "<u4").tobytes()))
+        for doc, ids in brute_pipeline(spark, corpus) for at in range(0, len(ids), 4096)
+    )
+    assert sorted((repr(r.doc_id), r.piece, r.length, r.ids_crc32) for r in rows) == pieces
+    given = spark.read.parquet(f"{corpus}/documents.parquet").count()
+    assert 150 < len({r.doc_id for r in rows}) < given
+    places = {}
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(held)])]
+        assert [at for at, _ in sorted(held)] == ends[:-1] and ends[-1] <= 4096
+
+
+def test_stages_keep_the_columns_of_documents(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
-        empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
-        assert stage(spark, empty, folder).count() == 0
+        assert stage(spark, docs.limit(0), corpus).count() == 0
+        after = written(stage(spark, docs, corpus), name)
+        if name != "packing":
+            assert after.schema.simpleString() == docs.schema.simpleString() and 0 < after.count() <= docs.count()
+            docs = after

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramline.llm.common import parallelism, written
+from tramline.llm.common import in_small_batches, parallelism, written
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>"
 LEARNED_ROLE = "assistant"
@@ -109,7 +109,7 @@ def format_conversations(turns: DataFrame, learned_role: str = LEARNED_ROLE) ->
                 ["conv_id", "turn", "formatted", "loss_start", "loss_end"],
             )
 
-    rows = turns.select(
+    rows = in_small_batches(turns).select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -152,7 +152,8 @@ def conversation_digest(formatted: DataFrame) -> DataFrame:
             yield _digest_batch(out)
 
     return (
-        formatted.repartition(parallelism(formatted.sparkSession), "conv_id")
+        in_small_batches(formatted)
+        .repartition(parallelism(formatted.sparkSession), "conv_id")
         .sortWithinPartitions("conv_id", "turn", "formatted")
         .mapInArrow(run, _DIGEST_DDL)
     )

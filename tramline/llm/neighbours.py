@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import FloatType
 
-from tramline.llm.common import parallelism, written
+from tramline.llm.common import in_small_batches, parallelism, written
 
 ROTATIONS = 8
 DIMENSIONS = 10
@@ -302,7 +302,7 @@ def nearest(
     )
     width = classes.agg(F.max(F.size("vector"))).first()[0] or 1
     orders = Orders(width, rotations)
-    entries = classes.select("ref", "asked", "vector").mapInArrow(
+    entries = in_small_batches(classes).select("ref", "asked", "vector").mapInArrow(
         _entries(orders, width, kind), "curve int, key binary, ref long, asked boolean, vector binary"
     )
     placed = written(

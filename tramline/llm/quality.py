@@ -10,20 +10,24 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tramline.llm.common import give_back, in_small_batches, one_text_each, whole, words_of
+from tramline.llm.common import give_back, in_small_batches, one_text_each, whole
+from tramline.llm.words import split_words
 
 #: Words of a passage.
 PASSAGE = 64
 #: Labelled documents the model is fitted on, at most, and the characters each may have.
 SAMPLE_DOCUMENTS = 4_000
 SAMPLE_CHARS = 50_000
+#: Documents below this score are rejected.
+THRESHOLD = 0.3
 _SHAPES, _WORDS = 256, 192
 _STATS = 6
 WIDTH = _SHAPES + _WORDS + _STATS
@@ -58,28 +62,43 @@ class _WordFeatures(dict):
 _FEATURES = _WordFeatures()
 
 
+def passages(text: str | None) -> Iterator[np.ndarray]:
+    """The features of a text's passages, a row each, ``_CHUNK`` passages at a time.
+
+    A text without words is one passage of zeros. Of a long text only its bytes, a number a word
+    and its different words are held whole.
+    """
+    words, _ = split_words(pa.array([text], pa.string()))
+    if not len(words):
+        yield np.zeros((1, WIDTH), np.float32)
+        return
+    coded = words.dictionary_encode()
+    ids = coded.indices.to_numpy(zero_copy_only=False)
+    known = np.fromiter(map(_FEATURES.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+    whole_text = [len(known) / len(ids), min(np.log1p(len(ids)) / 10, 2)]
+    for start in range(0, len(ids), PASSAGE * _CHUNK):
+        part = ids[start : start + PASSAGE * _CHUNK].astype(np.int64)
+        each, n = known[part], -(-len(part) // PASSAGE)
+        passage = np.arange(len(part)) // PASSAGE
+        size = np.bincount(passage, minlength=n).astype(np.float32)
+        base = passage * WIDTH
+        rows = np.bincount(np.concatenate((base + (each & 255), base + _SHAPES + (each >> 8 & 255))), minlength=n * WIDTH)
+        rows = np.sqrt(rows.reshape(n, WIDTH).astype(np.float32) / size[:, None])
+        distinct = np.bincount(np.unique(passage * len(known) + part) // len(known), minlength=n).astype(np.float32)
+        length = np.bincount(passage, each >> 16 & 255, n) / size
+        marks = np.bincount(passage, each >> 24, n) / size
+        rows[:, -_STATS:] = np.column_stack(
+            [
+                np.minimum(length / 10, 3), np.minimum(marks, 3), distinct / size,
+                np.full(n, whole_text[0]), size / PASSAGE, np.full(n, whole_text[1]),
+            ]
+        )
+        yield rows
+
+
 def encode_passages(text: str | None) -> np.ndarray:
-    """A row of features for each passage; a text without words is one passage of zeros."""
-    words = words_of(text)
-    if not words:
-        return np.zeros((1, WIDTH), np.float32)
-    each = np.fromiter(map(_FEATURES.__getitem__, words), np.int64, len(words))
-    n = -(-len(words) // PASSAGE)
-    passage = np.arange(len(words)) // PASSAGE
-    size = np.bincount(passage, minlength=n).astype(np.float32)
-    base = passage * WIDTH
-    rows = np.bincount(np.concatenate((base + (each & 255), base + _SHAPES + (each >> 8 & 255))), minlength=n * WIDTH)
-    rows = np.sqrt(rows.reshape(n, WIDTH).astype(np.float32) / size[:, None])
-    distinct = np.array([len(set(words[i : i + PASSAGE])) for i in range(0, len(words), PASSAGE)], np.float32)
-    length = np.bincount(passage, each >> 16 & 255, n) / size
-    marks = np.bincount(passage, each >> 24, n) / size
-    rows[:, -_STATS:] = np.column_stack(
-        [
-            np.minimum(length / 10, 3), np.minimum(marks, 3), distinct / size,
-            np.full(n, len(set(words)) / len(words)), size / PASSAGE, np.full(n, min(np.log1p(len(words)) / 10, 2)),
-        ]
-    )
-    return rows
+    """All passages of a text at once, for texts of bounded length."""
+    return np.concatenate(list(passages(text)))
 
 
 @dataclass
@@ -102,14 +121,37 @@ class AttentionModel:
         tanh, gate = np.tanh(hidden @ p["v"]), 1 / (1 + np.exp(-(hidden @ p["u"])))
         return hidden, tanh, gate, (tanh * gate) @ p["a"]
 
+    def logit(self, parts: Iterable[np.ndarray]) -> float:
+        """The score before it is squeezed, from a document's passages in chunks."""
+        encoded = [self._encoded(rows) for rows in parts]
+        hidden, logit = np.concatenate([x[0] for x in encoded]), np.concatenate([x[3] for x in encoded])
+        weight = np.exp(logit - logit.max())
+        return float((weight / weight.sum()) @ hidden @ self.weights["c"] + self.weights["cb"][0])
+
     def score(self, text: str | None) -> float:
         """Between 0 and 1, higher: label 1 likelier. Long texts are encoded in chunks."""
-        rows = encode_passages(text)
-        parts = [self._encoded(rows[i : i + _CHUNK]) for i in range(0, len(rows), _CHUNK)]
-        hidden, logit = np.concatenate([x[0] for x in parts]), np.concatenate([x[3] for x in parts])
-        weight = np.exp(logit - logit.max())
-        z = float((weight / weight.sum()) @ hidden @ self.weights["c"] + self.weights["cb"][0])
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.logit(passages(text)), -30, 30))))
+
+    def calibrate(self, bags: list[np.ndarray], labels: np.ndarray) -> AttentionModel:
+        """Move the offset so that ``THRESHOLD`` is where the labels part best, both counted alike.
+
+        Among equally good places the middle of the widest gap is taken. Nothing changes if a
+        label is missing.
+        """
+        if len(np.unique(labels)) < 2:
+            return self
+        found = np.array([self.logit([rows]) for rows in bags])
+        order = np.argsort(found)
+        found, good = found[order], labels[order] > 0.5
+        # Below place k: what is rejected there, as a share of each label.
+        lost = np.concatenate([[0], np.cumsum(good)]) / good.sum()
+        caught = np.concatenate([[0], np.cumsum(~good)]) / (~good).sum()
+        worth = (caught - lost)[1:-1]
+        gap = np.diff(found)
+        best = max(range(len(gap)), key=lambda k: (round(float(worth[k]), 9), float(gap[k])))
+        middle = (found[best] + found[best + 1]) / 2
+        self.weights["cb"] = self.weights["cb"] + np.float32(np.log(THRESHOLD / (1 - THRESHOLD)) - middle)
+        return self
 
     def step(self, bags: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the log loss of some documents."""
@@ -175,7 +217,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     model = AttentionModel.fresh()
     if not rows:
         return model
-    return model.fit([encode_passages(r[2]) for r in rows], np.array([r[1] for r in rows], np.float32))
+    bags, truth = [encode_passages(r[2]) for r in rows], np.array([r[1] for r in rows], np.float32)
+    model.fit(bags, truth)
+    return model.calibrate(bags, truth)
 
 
 def quality_score(model: AttentionModel, text: Column) -> Column:
@@ -200,4 +244,4 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = train(docs, labels, ~held_out)
     scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), quality_score(model, F.col("text")).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
