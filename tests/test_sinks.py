@@ -256,3 +256,17 @@ def test_many_days_make_few_files(spark, tmp_path):
     rows = spark.range(0, 1200, 1, 40).selectExpr("id", "CAST(id % 30 AS INT) AS day")
     append_load(rows, str(tmp_path / "days"), ["day"], gather=True)
     assert len(list((tmp_path / "days").glob("day=*/*.parquet"))) == 30
+
+
+def test_scratch_of_a_step_goes_with_it(spark):
+    from tramline.session import place_of, scratch_path, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        inside = scratch_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        spark.read.parquet(inside).write.parquet(kept)
+        assert inside.rpartition("/")[0] != kept.rpartition("/")[0]
+        raise ZeroDivisionError
+    place, fs = place_of(spark, inside)
+    assert not fs.exists(place) and not fs.exists(place.getParent()) and spark.read.parquet(kept).count() == 3

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
@@ -30,12 +33,37 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch folder of the step under way", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths taken inside lie below one folder, which goes at the end.
+
+    For a step whose result is written, outside that folder, before the end: what it was made
+    from is not needed then, whatever executors are lost later.
+    """
+    folder = scratch_path(spark, "step")
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, if it is there."""
+    place, fs = place_of(spark, path)
+    fs.delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh path below the folder all executors share (``spark.checkpoint.dir``).
 
     Without that setting it lies below the warehouse, never in a machine-local temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _scope.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/tramline-{label}-{uuid.uuid4().hex}"
