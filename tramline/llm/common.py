@@ -16,14 +16,14 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` as a table in the shared folder, read back.
+def written(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """``rows`` as a table in the shared folder (at ``path`` if one was chosen), read back.
 
     It cuts the lineage: a lost executor costs at most the step since the last written table.
     The step's shuffle files go as soon as its table is complete.
     """
     spark = rows.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:

@@ -172,7 +172,10 @@ def _merged(runs: str) -> Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
-    """The rows of ``docs``, with all their columns, whose text shares no window with the benchmark."""
+    """The rows of ``docs``, with all their columns, whose text shares no window with the benchmark.
+
+    Null and empty texts share none and stay; rows are judged each, equal ones alike.
+    """
     found = find_contamination(docs, benchmark, id_column, text_column, keep=tuple(docs.columns))
     return found.filter(F.size("spans") == 0).select("kept.*")
 
