@@ -16,7 +16,7 @@ from tramline.llm.decontaminate import clean_documents
 from tramline.llm.packing import pack
 from tramline.llm.simhash import without_near_duplicates
 from tramline.llm.substrings import without_repeats
-from tramline.session import configure
+from tramline.session import configure, remove, scratch_path, scratch_scope
 
 #: The vocabulary file of the packed ids.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -27,7 +27,11 @@ END_ID = 1
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier does not reject."""
+    """Documents the quality classifier does not reject.
+
+    Null and empty texts are judged as texts without words; rows that share an id, or have none,
+    are judged each by its own text. An empty table stays empty.
+    """
     usable = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
     model = quality.train(docs, table(spark, sf_dir, "labels"), usable)
     return docs.filter(quality.quality_score(model, F.col("text")) >= LEAST_QUALITY)
@@ -54,12 +58,19 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of words with the benchmark."""
+    """Documents that share no window of words with the benchmark.
+
+    Null and empty texts have no words and stay; equal rows stay or go together.
+    """
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document that is left."""
+    """The place of every piece of every document that is left.
+
+    A null or empty text is the end id alone; a null id stays null; rows that share an id are
+    documents of their own.
+    """
     rows = pack(docs, VOCABULARY, END_ID, SEQUENCE)
     return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -77,10 +88,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the table ``documents``."""
+    """All stages on the table ``documents``.
+
+    The tables a stage works with go when its result is written, and that when the next one is.
+    """
     docs = table(configure(spark), sf_dir, "documents")
-    for at, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    *earlier, (_, last) = STAGES
+    before = None
+    for name, stage in earlier:
+        place = scratch_path(spark, name)
+        with scratch_scope(spark):
+            docs = written(stage(spark, docs, sf_dir), name, place)
+        if before:
+            remove(spark, before)
+        before = place
+    return last(spark, docs, sf_dir)
