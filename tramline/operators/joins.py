@@ -22,13 +22,13 @@ def fits(
 ) -> bool:
     """Whether a side is small enough to broadcast, measured, not estimated.
 
-    Reads no more than ``max_rows + 1`` of its rows.
+    Every task sums what it reads, so a side too large to broadcast is no single task's work.
     """
     widths = [
         F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16
         for name in side.columns
     ]
-    size = side.limit(max_rows + 1).agg(
+    size = side.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(sum(widths, F.lit(0))), F.lit(0)).alias("bytes"),
     )

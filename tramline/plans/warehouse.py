@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,7 +11,7 @@ from tramline import schemas
 from tramline.functions import to_date_or_null
 from tramline.operators.columns import audit_stamp
 from tramline.plans import clean, dims, facts, staging
-from tramline.session import configure, place_of, scratch_path
+from tramline.session import configure, place_of, scratch_path, scratch_scope, together
 from tramline.sinks.commits import CommittedTable
 from tramline.sinks.conform import align_by_name
 from tramline.sinks.files import write_parquet_chunked
@@ -272,14 +273,18 @@ class Warehouse:
 
     def build_dimensions(self, dedupe: bool = False) -> None:
         """All three dimensions; each usage table is read once, into the keys it contributes."""
-        src, keys = self.staged(), {}
-        for kind in dims.USAGE_SETS:
+        src = self.staged()
+
+        def keys_of(kind: str) -> DataFrame:
             place = scratch_path(self.spark, f"{kind}-keys")
             dims.usage_keys(kind, src[kind]).write.parquet(place)
-            keys[kind] = self.spark.read.parquet(place)
-        locations = {name: rows for name, rows in src.items() if name.endswith("_locations")}
-        for name, rows in dims.dimensions(keys, locations, dedupe).items():
-            self._refresh(name, rows)
+            return self.spark.read.parquet(place)
+
+        with scratch_scope(self.spark):
+            keys = together({kind: partial(keys_of, kind) for kind in dims.USAGE_SETS})
+            locations = {name: rows for name, rows in src.items() if name.endswith("_locations")}
+            made = dims.dimensions(keys, locations, dedupe)
+            together({name: partial(self._refresh, name, rows) for name, rows in made.items()})
 
     def append_fact_bike_usage(self) -> str | None:
         rows = facts.fact_bike_usage(

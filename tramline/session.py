@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 SETTINGS = {
     # Load stamps are UTC instants; every date is cut in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -52,6 +56,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         remove(spark, folder)
 
 
+def together(steps: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """The results of independent steps that run side by side, by name; a few, for each is a thread.
+
+    Spark gives each step's jobs the cores that the others leave idle. The first error is raised
+    when all have ended.
+    """
+    with ThreadPoolExecutor(max(len(steps), 1)) as pool:
+        begun = {name: pool.submit(copy_context().run, step) for name, step in steps.items()}
+    return {name: step.result() for name, step in begun.items()}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, if it is there."""
     place, fs = place_of(spark, path)

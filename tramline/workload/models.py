@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
 from tramline import plans, schemas, sources
 from tramline.constants import BIKE_STATION_SERVICE, BUS_STOP_SERVICE
+from tramline.session import together
 from tramline.workload import standins as mock
 from tramline.workload.registry import Tables, query
 
@@ -163,9 +166,10 @@ def dim_station(t: Tables) -> DataFrame:
 def _from_keys(t: Tables, *names: str) -> list[DataFrame]:
     """Dimensions as tables, from one read of each usage table."""
     src = _staged(t)
-    keys = {kind: t.kept(f"{kind}_keys", plans.usage_keys(kind, src[kind])) for kind in plans.USAGE_SETS}
+    found = {kind: plans.usage_keys(kind, src[kind]) for kind in plans.USAGE_SETS}
+    keys = together({kind: partial(t.kept, f"{kind}_keys", rows) for kind, rows in found.items()})
     made = plans.dimensions(keys, {name: rows for name, rows in src.items() if name.endswith("_locations")})
-    return [t.kept(name, made[name]) for name in names]
+    return list(together({name: partial(t.kept, name, made[name]) for name in names}).values())
 
 
 @query("dim_date_from_keys", mock.STAGING_CTES + mock.DIM_DATE_SQL)
