@@ -599,6 +599,55 @@ def test_folding_and_exceptions():
     assert lexicon.score("scum") > lexicon.score("scum " + "fine " * 200) > lexicon.score("fine")
 
 
+def brute_matches(folded, entries, exceptions):
+    """Every entry tried at every place."""
+
+    def places(text, stem):
+        for at in range(len(folded) - len(text) + 1):
+            end = at + len(text)
+            before = at == 0 or not folded[at - 1].isalnum()
+            after = stem or end == len(folded) or not folded[end].isalnum()
+            if folded.startswith(text, at) and before and after:
+                yield at, end
+
+    excused = [span for phrase in exceptions for span in places(phrase, False)]
+    found = [(*span, weight) for entry, weight in entries.items() for span in places(entry.rstrip("*"), entry.endswith("*"))]
+    return sorted(m for m in found if not any(a <= m[0] and m[1] <= b for a, b in excused))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_lexicon_matches_are_those_of_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    word = lambda: "".join(rng.choice(list("abß"), int(rng.integers(1, 4))))
+    entries = {word() + rng.choice(["", "", "*"]): float(n + 1) for n in range(6)}
+    entries = {k: v for k, v in entries.items() if k.endswith("*") or k + "*" not in entries}
+    phrases = {f"{word()} {word()}" for _ in range(4)} - {entry.rstrip("*") for entry in entries}
+    lexicon = toxicity.Lexicon(entries, tuple(phrases))
+    for _ in range(20):
+        text = "".join(rng.choice([word(), " ", " ", ".", word() + " " + word(), *phrases]) for _ in range(int(rng.integers(0, 30))))
+        assert sorted(lexicon.matches(toxicity.fold(text))) == brute_matches(toxicity.fold(text), entries, phrases)
+
+
+def test_quality_is_the_model_on_plain_passages():
+    """Scores against a loop over passages, in chunks of any size."""
+    model = quality.AttentionModel.fresh()
+    text = " ".join(f"Wort{n % 97}, x{n % 13}" for n in range(5_000))
+    whole_rows = quality.encode_passages(text)
+    for size in (1, 3, 2_048):
+        assert abs(model.logit([whole_rows[at : at + size] for at in range(0, len(whole_rows), size)]) - model.logit([whole_rows])) < 1e-4
+    words, p = text.split(), model.weights
+    assert len(whole_rows) == -(-len(words) // quality.PASSAGE)
+    total, weights = np.zeros(len(p["c"])), 0.0
+    for row in whole_rows:
+        hidden = np.tanh(row @ p["w"] + p["wb"])
+        gate = np.tanh(hidden @ p["v"]) / (1 + np.exp(-(hidden @ p["u"])))
+        weight = np.exp(float(gate @ p["a"]))
+        total, weights = total + weight * hidden, weights + weight
+    z = float(total / weights @ p["c"] + p["cb"][0])
+    assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-4
+    assert 0 <= model.score(None) == model.score("  ") <= 1
+
+
 # --- pipeline
 
 

@@ -14,9 +14,10 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import ahocorasick
 import numpy as np
@@ -105,7 +106,10 @@ class Lexicon:
                 continue
             (excused if weight is None else found).append((start, stop, weight))
         if excused:
-            found = [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in excused)]
+            # Of the phrases that begin no later than a match, does the one that goes furthest hold it?
+            spans = sorted((start, stop) for start, stop, _ in excused)
+            starts, reach = [start for start, _ in spans], list(accumulate((stop for _, stop in spans), max))
+            found = [m for m in found if (k := bisect_right(starts, m[0])) == 0 or reach[k - 1] < m[1]]
         return found
 
     def total(self, folded: str) -> float:
