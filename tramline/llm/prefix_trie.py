@@ -18,11 +18,11 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tramline.llm.common import parallelism, written
+from tramline.llm.common import in_small_batches, parallelism, written
 from tramline.operators.joins import fits
 
 #: Turns of a container; one with more, and of more than one sequence, bursts.
-CONTAINER_TURNS = 20_000
+CONTAINER_TURNS = 2_000
 #: Bytes of a turn id.
 _ID = 16
 _ROOT = "root"
@@ -246,7 +246,7 @@ def prefix_trie(
     with one and the same sequence is one stream, for it is a hash over them in order.
     """
     spark = turns.sparkSession
-    everyone = written(sequences(turns, conversations).withColumn("seq", F.md5("ids")), "sequences")
+    everyone = written(sequences(in_small_batches(turns), conversations).withColumn("seq", F.md5("ids")), "sequences")
     if everyone.isEmpty():
         return spark.createDataFrame([], _RESULT)
     firsts = written(everyone.groupBy("seq").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n")), "distinct")
