@@ -91,19 +91,22 @@ def test_blocks_round_trip(n, high):
 
 
 def test_token_files(spark, docs):
+    """Null ids come first and stay null, beside ids of 0 and of the least number."""
+    more = [(-(2**63), "least"), (0, "zero"), *((None, f"nobody's {n % 3}") for n in range(20))]
+    docs = written(docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")), "more")
     library, start, expected = Tokenizer.from_file(VOCABULARY), 0, []
     got = sorted((tuple(r) for r in token_files.token_file_digest(spark, docs, VOCABULARY, 2).collect()), key=lambda r: (r[1], r[2]))
     ids = {}
     for doc, text in pairs(docs):
-        ids.setdefault(-(2**63) if doc is None else doc, []).append(np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4"))
-    for doc in sorted(ids):
+        ids.setdefault(doc, []).append(np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4"))
+    for doc in sorted(ids, key=lambda d: (d is not None, d or 0)):
         expected.append((doc, sorted((len(x), zlib.crc32(x.tobytes())) for x in ids[doc])))
     seen = {}
     for doc, at, n, crc in got:
         assert at == start
         start += n
         seen.setdefault(doc, []).append((n, crc))
-    assert [(d, sorted(v)) for d, v in sorted(seen.items())] == expected
+    assert [(d, sorted(v)) for d, v in seen.items()] == expected and expected[:2] == [(None, expected[0][1]), (-(2**63), expected[1][1])]
     assert token_files.token_file_digest(spark, docs.limit(0), VOCABULARY, 2).count() == 0
 
 

@@ -1,12 +1,13 @@
 """Token-id files: patched frame-of-reference blocks in pages of whole documents.
 
-File format (version 1). A file is a Parquet file, so that any cluster file system can hold it;
+File format (version 2). A file is a Parquet file, so that any cluster file system can hold it;
 its rows are pages. A page holds the ids of consecutive documents, one behind the other:
 
 ==============  ======  =====================================================================
 shard, page     int     the range partition of the page, and its place there
 first           long    ids before the page in its shard
 n_ids           long    ids in the page
+nulls           int     documents at the page's beginning that have no id; ``docs`` holds 0 for them
 docs            binary  the documents' ids, little-endian int64, ascending over the whole file
 lengths         binary  ids of each document, little-endian int64
 index           binary  start of each block in ``blocks``, little-endian uint32
@@ -46,7 +47,7 @@ _TOGETHER = 512
 _HEAD = struct.Struct("<IHBB")
 _PAGE = (
     "shard int, page int, first long, n_ids long, "
-    "docs binary, lengths binary, index binary, blocks binary"
+    "nulls int, docs binary, lengths binary, index binary, blocks binary"
 )
 
 
@@ -192,16 +193,17 @@ def write_token_files(
     """Write the ids of ``docs`` in ascending document id to files below ``path``.
 
     Null text counts as empty: its document has the end id alone. Rows with a null id come
-    first, under the id -2**63; rows that share an id stay separate, in no stated order. An
-    empty table gives files without pages. A range exchange on the id gives each task one shard,
-    whatever the order of the input; the task tokenizes as it writes, so ids never move. To find
-    the ranges ``docs`` is read twice: pass a table, not a costly plan.
+    first and keep it; rows that share an id stay separate, in no stated order. An empty table
+    gives files without pages. A range exchange on the id gives each task one shard, whatever
+    the order of the input; rows of one id, or of none, may spread over several. The task
+    tokenizes as it writes, so ids never move. To find the ranges ``docs`` is read twice: pass a
+    table, not a costly plan.
     """
     spark = docs.sparkSession
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, page, first = TaskContext.get().partitionId(), 0, 0
-        doc_ids: list[int] = []
+        doc_ids: list[int | None] = []
         held: list[np.ndarray] = []
         size = 0
 
@@ -210,7 +212,7 @@ def write_token_files(
             index, blocks = encode_blocks(np.concatenate(held))
             row = {
                 "shard": shard, "page": page, "first": first, "n_ids": size,
-                "docs": np.asarray(doc_ids, "<i8").tobytes(),
+                "nulls": doc_ids.count(None), "docs": np.asarray([doc or 0 for doc in doc_ids], "<i8").tobytes(),
                 "lengths": np.asarray([len(x) for x in held], "<i8").tobytes(),
                 "index": index, "blocks": blocks,
             }
@@ -231,11 +233,10 @@ def write_token_files(
             yield close()
 
     (
-        docs.select(
-            F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("doc"),
-            whole(F.col(text_column)).alias("text"),
-        )
-        .repartitionByRange(parallelism(spark), "doc")
+        docs.select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))
+        # By content and input partition, so a repeated task sends its rows to the same place.
+        .withColumn("spread", F.xxhash64("text", F.spark_partition_id()))
+        .repartitionByRange(parallelism(spark), "doc", "spread")
         .sortWithinPartitions("doc")
         .mapInArrow(pages, _PAGE)
         .write.option("compression", "none")
@@ -246,13 +247,13 @@ def write_token_files(
 _PAGE_ARROW = pa.schema(
     [
         ("shard", pa.int32()), ("page", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
-        ("docs", pa.binary()), ("lengths", pa.binary()), ("index", pa.binary()), ("blocks", pa.binary()),
+        ("nulls", pa.int32()), ("docs", pa.binary()), ("lengths", pa.binary()), ("index", pa.binary()), ("blocks", pa.binary()),
     ]
 )
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids) of every document: ``start`` counts the ids of all before it.
+    """(doc_id, start, ids) of every document: ``start`` counts the ids of all before it, null ids first.
 
     Starts need only each shard's total, one row a shard; ids are decoded page by page.
     """
@@ -274,7 +275,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 starts = ends - np.frombuffer(page["lengths"], "<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(docs),
+                        pa.array(docs, mask=np.arange(len(docs)) < page["nulls"]),
                         pa.array(starts + page["first"] + page["base"]),
                         pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
                     ],
