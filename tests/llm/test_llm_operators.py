@@ -637,7 +637,8 @@ def test_quality_is_the_model_on_plain_passages():
     text = " ".join(f"Wort{n % 97}, x{n % 13}" for n in range(5_000))
     whole_rows = quality.encode_passages(text)
     for size in (1, 3, 2_048):
-        assert abs(model.logit([whole_rows[at : at + size] for at in range(0, len(whole_rows), size)]) - model.logit([whole_rows])) < 1e-4
+        parts = [(whole_rows[at : at + size], np.zeros(len(whole_rows[at : at + size]), int)) for at in range(0, len(whole_rows), size)]
+        assert abs(model.logits(parts)[0] - model.logits([(whole_rows, np.zeros(len(whole_rows), int))])[0]) < 1e-4
     words, p = text.split(), model.weights
     assert len(whole_rows) == -(-len(words) // quality.PASSAGE)
     total, weights = np.zeros(len(p["c"])), 0.0
@@ -649,6 +650,9 @@ def test_quality_is_the_model_on_plain_passages():
     z = float(total / weights @ p["c"] + p["cb"][0])
     assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-4
     assert 0 <= model.score(None) == model.score("  ") <= 1
+    others = [None, text, "", "ein Wort", " ", text + " mehr", *(" ".join(["Wort"] * n) for n in (63, 64, 65, 128))]
+    assert np.allclose(model.scores(pa.array(others)), [model.score(other) for other in others], atol=1e-6)
+    assert len(model.scores(pa.array([], pa.string()))) == 0
 
 
 # --- pipeline

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tramline.llm.common import give_back, in_small_batches, one_text_each, whole
+from tramline.llm.common import give_back, in_small_batches, one_text_each, pieces, whole
 from tramline.llm.words import split_words
 
 #: Words of a passage.
@@ -28,6 +28,8 @@ SAMPLE_DOCUMENTS = 4_000
 SAMPLE_CHARS = 50_000
 #: Documents below this score are rejected.
 THRESHOLD = 0.3
+#: Characters scored at a time; one longer text is a slice of its own.
+SLICE_CHARS = 4 << 20
 _SHAPES, _WORDS = 256, 192
 _STATS = 6
 WIDTH = _SHAPES + _WORDS + _STATS
@@ -48,57 +50,77 @@ def _shape(word: str) -> str:
 class _WordFeatures(dict):
     """Shape bucket, word bucket, length and marks of a word in one number, remembered up to a bound."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.shapes: dict[str, int] = {}
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > _REMEMBERED:
             self.clear()
         text = word.decode("utf-8", "replace")
-        marks = 0 if text.isalnum() else min(sum(not c.isalnum() for c in text), 255)
-        shape = zlib.crc32((_shape(text)).encode()) % _SHAPES
-        bucket = zlib.crc32(word, 1) % _WORDS
-        value = self[word] = shape | bucket << 8 | min(len(text), 255) << 16 | marks << 24
+        if text.isalpha():  # one run of letters, the usual word
+            shape, marks = "a" if text.islower() else "A" if text.isupper() else "B", 0
+        elif text[:-1].isalpha() and text[-1] in ".,;:!?":
+            shape, marks = ("a" if text[:-1].islower() else "A" if text[:-1].isupper() else "B") + text[-1], 1
+        else:
+            shape = _shape(text)
+            marks = 0 if text.isalnum() else min(sum(not c.isalnum() for c in text), 255)
+        bucket = self.shapes.get(shape)
+        if bucket is None:
+            bucket = zlib.crc32(shape.encode()) % _SHAPES
+            if len(shape) < 3:
+                self.shapes[shape] = bucket
+        value = self[word] = bucket | zlib.crc32(word, 1) % _WORDS << 8 | min(len(text), 255) << 16 | marks << 24
         return value
 
 
 _FEATURES = _WordFeatures()
 
 
-def passages(text: str | None) -> Iterator[np.ndarray]:
-    """The features of a text's passages, a row each, ``_CHUNK`` passages at a time.
+def _distinct(group: np.ndarray, words: np.ndarray, kinds: int, groups: int) -> np.ndarray:
+    """How many different words each group has."""
+    pairs = np.sort(group * kinds + words)
+    return np.bincount(pairs[np.flatnonzero(np.diff(pairs, prepend=-1))] // kinds, minlength=groups)
+
+
+def passages(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, text) of the passages of all texts in order, a row each, ``_CHUNK`` passages at a time.
 
     A text without words is one passage of zeros. Of a long text only its bytes, a number a word
     and its different words are held whole.
     """
-    words, _ = split_words(pa.array([text], pa.string()))
-    if not len(words):
-        yield np.zeros((1, WIDTH), np.float32)
-        return
+    words, ends = split_words(texts)
     coded = words.dictionary_encode()
-    ids = coded.indices.to_numpy(zero_copy_only=False)
+    ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     known = np.fromiter(map(_FEATURES.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-    whole_text = [len(known) / len(ids), min(np.log1p(len(ids)) / 10, 2)]
-    for start in range(0, len(ids), PASSAGE * _CHUNK):
-        part = ids[start : start + PASSAGE * _CHUNK].astype(np.int64)
-        each, n = known[part], -(-len(part) // PASSAGE)
-        passage = np.arange(len(part)) // PASSAGE
-        size = np.bincount(passage, minlength=n).astype(np.float32)
+    kinds, counts = max(len(known), 1), np.diff(ends, prepend=0)
+    many = np.maximum(-(-counts // PASSAGE), 1)
+    text = np.repeat(np.arange(len(ends)), many)
+    begin = (ends - counts)[text] + (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * PASSAGE
+    stop = np.minimum(begin + PASSAGE, ends[text])
+    different = _distinct(np.repeat(np.arange(len(ends)), counts), ids, kinds, len(ends))
+    whole_text = np.column_stack([different / np.maximum(counts, 1), np.minimum(np.log1p(counts) / 10, 2)])
+    for at in range(0, len(text), _CHUNK):
+        own = text[at : at + _CHUNK]
+        part, spans = ids[begin[at] : stop[at + len(own) - 1]], (stop - begin)[at : at + len(own)]
+        each, n, size = known[part], len(own), np.maximum(spans, 1).astype(np.float32)
+        passage = np.repeat(np.arange(n), spans)
         base = passage * WIDTH
         rows = np.bincount(np.concatenate((base + (each & 255), base + _SHAPES + (each >> 8 & 255))), minlength=n * WIDTH)
         rows = np.sqrt(rows.reshape(n, WIDTH).astype(np.float32) / size[:, None])
-        distinct = np.bincount(np.unique(passage * len(known) + part) // len(known), minlength=n).astype(np.float32)
+        distinct = _distinct(passage, part, kinds, n).astype(np.float32)
         length = np.bincount(passage, each >> 16 & 255, n) / size
         marks = np.bincount(passage, each >> 24, n) / size
         rows[:, -_STATS:] = np.column_stack(
-            [
-                np.minimum(length / 10, 3), np.minimum(marks, 3), distinct / size,
-                np.full(n, whole_text[0]), size / PASSAGE, np.full(n, whole_text[1]),
-            ]
-        )
-        yield rows
+            [np.minimum(length / 10, 3), np.minimum(marks, 3), distinct / size, whole_text[own, 0], size / PASSAGE, whole_text[own, 1]]
+        )
+        rows[spans == 0] = 0
+        yield rows, own
 
 
 def encode_passages(text: str | None) -> np.ndarray:
     """All passages of a text at once, for texts of bounded length."""
-    return np.concatenate(list(passages(text)))
+    return np.concatenate([rows for rows, _ in passages(pa.array([text], pa.string()))])
 
 
 @dataclass
@@ -121,16 +143,25 @@ class AttentionModel:
         tanh, gate = np.tanh(hidden @ p["v"]), 1 / (1 + np.exp(-(hidden @ p["u"])))
         return hidden, tanh, gate, (tanh * gate) @ p["a"]
 
-    def logit(self, parts: Iterable[np.ndarray]) -> float:
-        """The score before it is squeezed, from a document's passages in chunks."""
-        encoded = [self._encoded(rows) for rows in parts]
-        hidden, logit = np.concatenate([x[0] for x in encoded]), np.concatenate([x[3] for x in encoded])
-        weight = np.exp(logit - logit.max())
-        return float((weight / weight.sum()) @ hidden @ self.weights["c"] + self.weights["cb"][0])
+    def logits(self, parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The scores of texts before they are squeezed, from chunks of (features, text) in order."""
+        encoded = [(*self._encoded(rows)[::3], text) for rows, text in parts]
+        if not encoded:
+            return np.empty(0)
+        hidden, logit, text = (np.concatenate(columns) for columns in zip(*encoded))
+        heads = np.flatnonzero(np.diff(text, prepend=-1))
+        top = np.maximum.reduceat(logit, heads)
+        weight = np.exp(logit - np.repeat(top, np.diff(np.append(heads, len(text)))))
+        z = np.add.reduceat(weight[:, None] * hidden, heads) / np.add.reduceat(weight, heads)[:, None]
+        return z @ self.weights["c"] + self.weights["cb"][0]
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """For each text between 0 and 1, higher: label 1 likelier. Passages are encoded in chunks."""
+        return 1 / (1 + np.exp(-np.clip(self.logits(passages(texts)).astype(np.float64), -30, 30)))
 
     def score(self, text: str | None) -> float:
-        """Between 0 and 1, higher: label 1 likelier. Long texts are encoded in chunks."""
-        return float(1 / (1 + np.exp(-np.clip(self.logit(passages(text)), -30, 30))))
+        """The score of one text."""
+        return float(self.scores(pa.array([text], pa.string()))[0])
 
     def calibrate(self, bags: list[np.ndarray], labels: np.ndarray) -> AttentionModel:
         """Move the offset so that ``THRESHOLD`` is where the labels part best, both counted alike.
@@ -140,7 +171,7 @@ class AttentionModel:
         """
         if len(np.unique(labels)) < 2:
             return self
-        found = np.array([self.logit([rows]) for rows in bags])
+        found = self.logits((rows, np.full(len(rows), n)) for n, rows in enumerate(bags))
         order = np.argsort(found)
         found, good = found[order], labels[order] > 0.5
         # Below place k: what is rejected there, as a share of each label.
@@ -228,7 +259,9 @@ def quality_score(model: AttentionModel, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
-            yield pd.Series([model.score(x) for x in part], dtype="float64")
+            held = pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["text"])
+            found = [model.scores(some.column("text")) for some in pieces([held], SLICE_CHARS, "text")]
+            yield pd.Series(np.concatenate([np.empty(0), *found]))
         _FEATURES.clear()
         give_back()
 
