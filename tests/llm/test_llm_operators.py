@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from conftest import plan_of
 from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tramline.llm import chat, decontaminate, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
+from tramline.llm import chat, common, decontaminate, neighbours, packing, quality, sharding, simhash, substrings, token_files, tokens, toxicity
 from tramline.llm.common import written
 from tramline.llm.components import components
 from tramline.llm.tokens import encoded, encoder
+from tramline.llm.words import split_words
 
 VOCABULARY = path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, words string, score double, shard string, cut string, row long"
@@ -744,3 +747,39 @@ def test_stages_keep_the_columns_of_documents(spark, corpus):
         if name != "packing":
             assert after.schema.simpleString() == docs.schema.simpleString() and 0 < after.count() <= docs.count()
             docs = after
+
+
+def test_splitting_words_needs_little_beside_the_text():
+    text = pa.array([" ".join(["seven77"] * 250_000)])
+    tracemalloc.start()
+    try:
+        words, ends = split_words(text)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(words) == 250_000 and ends.tolist() == [250_000]
+    assert most < 8 * text.nbytes  # a number of eight bytes for every byte of text is more
+
+
+def test_packing_starts_no_workers_of_another_kind(docs):
+    assert "ExistingRDD" not in plan_of(packing.pack(docs, VOCABULARY, 1, capacity=64))
+
+
+def test_words_are_remembered_within_bounds(monkeypatch):
+    texts = [f"w{n} again, w{n + 1}. X{n}" for n in range(300)]
+    want = [Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids for text in texts]
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    monkeypatch.setattr(tokens, "_NEW", 7)
+    own = tokens.WordEncoder(VOCABULARY)
+    for at in range(0, 300, 30):
+        ids, ends = own.encode(pa.array(texts[at : at + 30]))
+        assert [part.tolist() for part in np.split(ids, ends[:-1])] == want[at : at + 30]
+        assert len(own.known) < 40 + 30 * 6
+
+
+def test_workers_give_memory_back(monkeypatch):
+    before = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: before.append(1)})())
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: type("Lib", (), {"malloc_trim": lambda self, pad: before.append(2)})())
+    common.give_back()
+    assert before == [1, 2]

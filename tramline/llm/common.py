@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -44,8 +45,15 @@ def in_small_batches(rows: DataFrame) -> DataFrame:
 
 
 def give_back() -> None:
-    """Give a worker's unused Arrow memory back; the process lives on after its task."""
+    """Give a worker's unused memory back; the process lives on after its task.
+
+    Spark keeps more workers than run at a time, and what each was once given adds up. The C
+    library's free memory goes too, where it has a call for that.
+    """
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def parallelism(spark: SparkSession) -> int:

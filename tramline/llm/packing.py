@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tramline.llm.common import written
+from tramline.llm.common import give_back, written
 from tramline.llm.token_files import tokenize
 
 #: Bytes and rows of the pieces of one length that share a ranking group, on average.
@@ -122,9 +122,10 @@ def pack(
     pieces = written(cuts.withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit(counts, capacity)
-    # At most one row a length.
-    groups = [(length, max(-(-n // RANK_ROWS), -(-n * 4 * length // RANK_BYTES))) for length, n in counts.items()]
-    many = F.broadcast(docs.sparkSession.createDataFrame(groups, "length int, groups long"))
+    # At most one row a length; as an Arrow table, for rows of Python objects start workers of another kind.
+    groups = [max(-(-n // RANK_ROWS), -(-n * 4 * length // RANK_BYTES)) for length, n in counts.items()]
+    columns = {"length": pa.array(list(counts), pa.int32()), "groups": pa.array(groups, pa.int64())}
+    many = F.broadcast(docs.sparkSession.createDataFrame(pa.table(columns)))
     dealt = pieces.join(many, "length").withColumn("part", F.pmod(F.xxhash64("row"), F.col("groups")))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
@@ -157,6 +158,7 @@ def _placed(ranked: DataFrame, plan: dict[int, list[Slots]]) -> DataFrame:
                 [*kept, pa.array(sequence), pa.array(offset)],
                 ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
+        give_back()
 
     rows = ranked.select(
         "doc", "piece", "start", F.col("length").cast("long").alias("length"), "ids",

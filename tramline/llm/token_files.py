@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tramline.llm.common import in_small_batches, parallelism, pieces, whole
+from tramline.llm.common import give_back, in_small_batches, parallelism, pieces, whole
 from tramline.llm.tokens import encoded
 from tramline.session import scratch_path
 
@@ -38,8 +38,8 @@ BLOCK = 128
 PERCENTILE = 0.9
 #: Ids after which a page ends; a longer document is a page of its own.
 PAGE_IDS = 1 << 16
-#: Characters tokenized at a time in one task.
-SLICE_CHARS = 4 << 20
+#: Characters tokenized at a time in one task; what is made on the way is several times as large.
+SLICE_CHARS = 1 << 20
 
 #: Blocks packed or unpacked at a time; a long document's page has many more.
 _TOGETHER = 512
@@ -177,6 +177,7 @@ def tokenize(
             spans = pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int32))
             held = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, spans, pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays([part.column("doc"), held], ["doc", "ids"])
+        give_back()
 
     rows = in_small_batches(docs).select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))
     return rows.mapInArrow(run, "doc long, ids binary")
@@ -231,6 +232,7 @@ def write_token_files(
                 size += len(own)
         if held:
             yield close()
+        give_back()
 
     (
         docs.select(F.col(id_column).cast("long").alias("doc"), whole(F.col(text_column)).alias("text"))

@@ -21,9 +21,11 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from tramline.llm.words import joined_words, split_words
 
-#: Words a process remembers; at the bound it forgets all and goes on.
-REMEMBERED = 700_000
+#: Words a process remembers, about 170 bytes each; at the bound it keeps the first half and goes on.
+REMEMBERED = 300_000
 _CHUNK = 64
+#: New words taken apart at a time.
+_NEW = 8_000
 _LINE = 1_000
 
 
@@ -111,7 +113,9 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:  # frequent words are met, and so stand, first
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         held = list(map(self.known.get, different))
-        self._learn([word for word, ids in zip(different, held) if ids is None])
+        new = [word for word, ids in zip(different, held) if ids is None]
+        for start in range(0, len(new), _NEW):
+            self._learn(new[start : start + _NEW])
         held = [self.known[word] if ids is None else ids for word, ids in zip(different, held)]
         found = pa.array(held, pa.large_binary()).take(coded.indices)
         _, offsets, data = found.buffers()

@@ -23,9 +23,12 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     cut = places[:-1][places[:-1] < len(held)]
     opens[cut] = inside[cut]
     starts = np.flatnonzero(opens)
-    letters = np.cumsum(inside, dtype=np.int64)
-    spans = np.concatenate([letters[starts] - 1, letters[-1:]]) if len(starts) else np.zeros(1, np.int64)
-    buffers = [None, pa.py_buffer(spans.astype(np.int64)), pa.py_buffer(held[inside])]
+    # A number for every word, not for every byte: a slice's bytes are many.
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:] | opens[1:]
+    spans = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(np.flatnonzero(closes) + 1 - starts, out=spans[1:])
+    buffers = [None, pa.py_buffer(spans), pa.py_buffer(held[inside])]
     return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), np.searchsorted(starts, places[1:])
 
 
