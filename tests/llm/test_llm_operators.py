@@ -69,6 +69,33 @@ def test_ids_of_every_character_beside_marks():
     assert not wrong
 
 
+def test_words_are_known_in_one_form():
+    """Case and marks make no new words; each would be another one for the library to encode."""
+    own, library = tokens.WordEncoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    text = "Été, été; ÉTÉ! Word word. WORD,word"
+    assert own.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert set(own.known) == {word.encode() for word in ("été", "word", ",", ";", "!", ".")}
+
+
+@pytest.mark.parametrize("together", [1, 5, 1 << 20])
+def test_ids_of_letters_beside_anything(monkeypatch, together):
+    """Letters that are lowered or cut from marks, among those that must not be, as the library has them."""
+    monkeypatch.setattr(tokens, "_BYTES", together)
+    monkeypatch.setattr(tokens, "_WORDS", together)
+    own, library = encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    some = [*"aAéÉ×÷ßÿÀÞ.,!?;:#$%&*'\"-|<>(19 \t\n\u0085Σςąǰ가中क़", "'s", "'T", "İ", "\u0301", "H\u0331", "K", "<|endoftext|>", "<|ENDOFTEXT|>", "The", "THE"]
+    rng = np.random.default_rng(8)
+    texts = ["".join(some[n] for n in rng.integers(0, len(some), rng.integers(0, 40))) for _ in range(4_000)]
+    ids, ends = own.encode(pa.array([*texts, None]).slice(5))
+    expected = library.encode_batch_fast(texts[5:], add_special_tokens=False)
+    wrong = [text for text, part, want in zip(texts[5:], np.split(ids, ends[:-1]), expected) if part.tolist() != want.ids]
+    assert not wrong
+    broken = [b"a\xc3", b"\xa9,b", b"\xc3,\xc3 A\xc3 ,\xc3\x97", b"\xc3\xc3\x89\x89Z"]
+    ids, ends = own.encode(pa.array(broken, pa.binary()))
+    for text, part in zip(broken, np.split(ids, ends[:-1])):
+        assert part.tolist() == library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
 def test_ids_of_little():
     ids, ends = encoder(VOCABULARY).encode(pa.array([], pa.string()))
     assert len(ids) == len(ends) == 0

@@ -1,7 +1,9 @@
 """Token ids of whole texts, by the tokenizers library.
 
 White space never reaches an id in the vocabularies used here, so a text's ids are those of its
-words one after the other. Words repeat, so each process encodes a word once and keeps its ids.
+words one after the other. Words repeat, so each process encodes a word once and keeps its ids;
+marks beside a letter or digit are a word of their own, and words of plain letters are met in lower
+case, where the vocabulary's rules allow it.
 ``by_words`` says whether that holds for a vocabulary file; without it, texts are encoded whole.
 """
 
@@ -12,7 +14,7 @@ import re
 import unicodedata
 from array import array
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, islice
 from sys import byteorder
 
 import numpy as np
@@ -27,6 +29,24 @@ _CHUNK = 64
 #: New words taken apart at a time.
 _NEW = 8_000
 _LINE = 1_000
+#: Bytes told apart and words lowered at a time; one long text has many more.
+_BYTES = 1 << 20
+_WORDS = 1 << 17
+
+#: A byte's classes, as bits. Behind ``_LEAD``, ``_SECOND`` makes a letter from U+00C0 to U+00FF.
+_LETTER, _MARK, _DIGIT, _SECOND, _LEAD, _UPPER_SECOND, _UPPER = 1, 2, 4, 8, 16, 32, 64
+
+
+def _classes(marks: str) -> bytes:
+    """The classes of each byte."""
+    made = []
+    for byte in range(256):
+        letter = _LETTER * (byte < 128 and chr(byte).isalpha()) | _UPPER * (65 <= byte <= 90)
+        second = _SECOND * (0x80 <= byte <= 0xBF and byte not in (0x97, 0xB7))
+        upper = _UPPER_SECOND * (second and byte <= 0x9E)
+        sign = _MARK * (byte < 128 and chr(byte) in marks) | _DIGIT * (48 <= byte <= 57)
+        made.append(letter | second | upper | sign | _LEAD * (byte == 0xC3))
+    return bytes(made)
 
 
 def ids_type(n_ids: int) -> str:
@@ -41,6 +61,19 @@ def _byte_letters() -> list[str]:
     return [chr(byte) if byte in printable else chr(next(others)) for byte in range(256)]
 
 
+def _letters(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(1 for bytes of letters of ASCII and Latin-1, ``_SECOND`` for those behind a lead byte); 0 for others.
+
+    No letter goes beyond a start.
+    """
+    second = np.zeros_like(classes)
+    second[1:] = (classes[:-1] >> 1) & classes[1:] & _SECOND
+    second[starts] = 0
+    letter = classes & _LETTER | second >> 3
+    letter[:-1] |= second[1:] >> 3
+    return letter, second
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
@@ -55,12 +88,20 @@ class WordEncoder:
             for token in added
         )
         self.letters = {**dict(enumerate(_byte_letters())), 32: " "}
+        self.codes = np.asarray([ord(self.letters[byte]) for byte in range(256)], "<u4")
         # Marks that end no added token may be cut off a word's end.
         self.marks = "".join(set(".,!?;:#$%&*") - set("".join(token["content"] for token in added)))
         # (letters, marks, other) of each of many words with one space between them.
         latin = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
         self.parted = re.compile(f"(?:([{latin}]+)([{re.escape(self.marks)}]*)|([^ ]+))(?: |$)").findall
-        self.direct = self.plain and self._agrees("ProBe") and self._agrees("Épreuveß")
+        self.direct = (
+            self.plain
+            and not any(token["content"].isalpha() for token in added)
+            and self._agrees("ProBe", [self._spelled("probe")])
+            and self._agrees("Épreuveß", [self._spelled("épreuveß")])
+        )
+        self.classes = _classes(self.marks)
+        self.apart = self.direct and all(self._agrees(f"a{mark}b1{mark}2", ["a", mark, "b", "1", mark, "2"]) for mark in self.marks)
         # The library with the model alone, for words that are spelled already; an id that ends
         # a word tells where the next begins.
         self.alone = Tokenizer(self.model)
@@ -91,12 +132,43 @@ class WordEncoder:
         low = unicodedata.normalize("NFC", words).lower()
         return low.encode().decode("latin-1").translate(self.letters)
 
-    def _agrees(self, word: str) -> bool:
-        """Whether the library prepares the word like ``_spelled``."""
+    def _agrees(self, word: str, spelled: list[str]) -> bool:
+        """Whether the library takes the word apart like this."""
         steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         if None in steps:
             return False
-        return [p for p, _ in steps[1].pre_tokenize_str(steps[0].normalize_str(word))] == [self._spelled(word)]
+        return [p for p, _ in steps[1].pre_tokenize_str(steps[0].normalize_str(word))] == spelled
+
+    def _classed(self, held: np.ndarray) -> np.ndarray:
+        return np.frombuffer(held.tobytes().translate(self.classes), np.uint8)
+
+    def _kinds(self, held: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """1 for bytes of letters and digits, as far as Latin-1 goes, 2 for those of marks, 0 for others."""
+        kinds = np.empty(len(held), np.uint8)
+        for at in range(0, len(held), _BYTES):
+            first = max(at - 1, 0)  # a byte's neighbours tell whether it belongs to a letter
+            some = held[first : at + _BYTES + 1]
+            low, high = np.searchsorted(starts, [first, first + len(some)])
+            classes = self._classed(some)
+            kind = _letters(classes, starts[low:high] - first)[0] | (classes & _DIGIT) >> 2 | classes & _MARK
+            kinds[at : at + _BYTES] = kind[at - first :][:_BYTES]
+        return kinds
+
+    def _lowered(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words, those of nothing but letters of ASCII and Latin-1 in lower case; which these are."""
+        _, offsets, data = words.buffers()
+        spans = np.frombuffer(offsets, np.int64, len(words) + 1)
+        low, plain = np.frombuffer(data, np.uint8, spans[-1]).copy(), np.empty(len(words), bool)
+        for at in range(0, len(words), _WORDS):
+            ends = spans[at : at + _WORDS + 1]
+            held, starts = low[ends[0] : ends[-1]], ends[:-1] - ends[0]
+            classes = self._classed(held)
+            letter, second = _letters(classes, starts)
+            whole = np.bitwise_and.reduceat(letter, starts)
+            # Lower case is one bit more, the same one in ASCII and behind a lead byte.
+            held |= (classes >> 1 | classes & second << 2) & np.repeat(whole << 5, np.diff(ends))
+            plain[at : at + _WORDS] = whole
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, offsets, pa.py_buffer(low)]), plain
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one behind the other, where each text's ids end); null and empty texts have none.
@@ -107,16 +179,26 @@ class WordEncoder:
         if not self.plain:
             each = [self.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts.to_pylist()]
             return np.asarray([one for ids in each for one in ids], "<u4"), np.cumsum([len(ids) for ids in each], dtype=np.int64)
-        words, ends = split_words(texts)
+        words, ends = split_words(texts, self._kinds if self.apart else None)
+        words, plain = self._lowered(words) if self.direct and len(words) else (words, np.zeros(len(words), bool))
         coded = words.dictionary_encode()
+        simple = np.zeros(len(coded.dictionary), bool)
+        simple[coded.indices.to_numpy()] = plain
+        del words, plain
         different = joined_words(coded.dictionary, np.asarray([len(coded.dictionary)]))[0].as_py().split()
         if len(self.known) > REMEMBERED:  # frequent words are met, and so stand, first
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         held = list(map(self.known.get, different))
-        new = [word for word, ids in zip(different, held) if ids is None]
-        for start in range(0, len(new), _NEW):
-            self._learn(new[start : start + _NEW])
-        held = [self.known[word] if ids is None else ids for word, ids in zip(different, held)]
+        new = np.asarray([ids is None for ids in held], bool)
+        lower = list(compress(different, new & simple))
+        for start in range(0, len(lower), _LINE):
+            line = lower[start : start + _LINE]
+            self._learn_line(line, self.codes[np.frombuffer(b" ".join(line), np.uint8)].tobytes().decode("utf-32-le"))
+        others = list(compress(different, new & ~simple))
+        for start in range(0, len(others), _NEW):
+            self._learn(others[start : start + _NEW])
+        for at in np.flatnonzero(new).tolist():
+            held[at] = self.known[different[at]]
         found = pa.array(held, pa.large_binary()).take(coded.indices)
         _, offsets, data = found.buffers()
         spans = np.frombuffer(offsets, np.int64, len(found) + 1) // 4
@@ -155,22 +237,20 @@ class WordEncoder:
                 joined.append((word, part, behind))
                 if behind not in known:
                     slow[behind] = None
-        self._learn_simple(quick)
+        bases, letters = list(quick), list(quick.values())
+        for start in range(0, len(bases), _LINE):
+            self._learn_line(bases[start : start + _LINE], self._spelled(" ".join(letters[start : start + _LINE])))
         slow = list(slow)
         for start in range(0, len(slow), _CHUNK):
             self._learn_together(slow[start : start + _CHUNK])
         for word, base, marks in joined:
             known[word] = known[base] + known[marks]
 
-    def _learn_simple(self, words: dict[bytes, str]) -> None:
-        """Words that only the model has to see."""
-        keys, texts = list(words), list(words.values())
-        for start in range(0, len(keys), _LINE):
-            line = self._spelled(" ".join(texts[start : start + _LINE]))
-            ids = np.asarray(self.alone.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            data = ids.tobytes()
-            self.known.update((word, data[a:b]) for word, a, b in zip(keys[start : start + _LINE], [0, *stops], stops))
+    def _learn_line(self, words: list[bytes], line: str) -> None:
+        """Words that only the model has to see; ``line`` spells them, one space between them."""
+        ids = np.asarray(self.alone.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        self.known.update(zip(words, map(ids.tobytes().__getitem__, map(slice, [0, *stops], stops))))
 
     def _learn_together(self, words: list[bytes]) -> None:
         """One call for several words; the offsets tell whose ids are whose."""

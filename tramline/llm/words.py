@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def split_words(
+    texts: pa.Array, kinds: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts one behind the other, and where each text's words end.
 
     Words stand between spaces and the control characters 9 to 13. Null texts have none.
+    ``kinds`` tells from all bytes and the texts' starts which are of kind 1 and 2, others 0; a
+    word also ends between these two kinds.
     """
     texts = pa.compute.fill_null(texts.cast(pa.large_binary()), b"")
     _, offsets, data = texts.buffers()
@@ -22,6 +28,9 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     opens[1:] &= ~inside[:-1]
     cut = places[:-1][places[:-1] < len(held)]
     opens[cut] = inside[cut]
+    if kinds:
+        kind = kinds(held, cut)
+        opens[1:] |= kind[1:] ^ kind[:-1] == 3
     starts = np.flatnonzero(opens)
     # A number for every word, not for every byte: a slice's bytes are many.
     closes = inside.copy()
